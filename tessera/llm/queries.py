@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, mixing, token_counts, winnowing
+from tessera.llm import bpe, exact_dedup, mixing, near_dedup, token_counts, winnowing
 from tessera.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_likeness(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
     "op4_token_counts": op4_token_counts,
+    "op7_near_dedup": op7_near_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_exact_dedup": op9_exact_dedup,
 }
