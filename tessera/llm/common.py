@@ -68,9 +68,9 @@ def arrow_batches(spark: SparkSession, rows: int = 1024, mb: int = 16) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """What the optimizer takes the plan's input to be, in bytes: sizes partitions, never decides on rows."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return min(int(size.toString()), 1 << 60)
+    """What the optimizer takes the plan's input to be, in bytes, 0 if it can't tell: sizes partitions, never decides on rows."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
 
 
 def tasks_for(df: DataFrame, mb: int) -> int:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, mixing, near_dedup, token_counts, winnowing
+from tessera.llm import bpe, exact_dedup, mixing, near_dedup, substring_dedup, token_counts, winnowing
 from tessera.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -40,6 +40,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dedup": op7_near_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
