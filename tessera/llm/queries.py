@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, mixing, near_dedup, substring_dedup, token_counts, winnowing
+from tessera.llm import bpe, chat, exact_dedup, language, mixing, near_dedup, substring_dedup, token_counts, winnowing
 from tessera.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.sql(f"SELECT -7L conv_id, turn, role, '{said}' text FROM VALUES (0L, 'user'), (1L, 'assistant') t(turn, role)")
+    return chat.read_back(chat.segments(talks.unionByName(planted)))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train(docs))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), k=3, percent=85)
 
@@ -48,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
     "op4_token_counts": op4_token_counts,
+    "op5_chat": op5_chat,
+    "op6_language": op6_language,
     "op7_near_dedup": op7_near_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_exact_dedup": op9_exact_dedup,
