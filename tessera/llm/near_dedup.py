@@ -178,21 +178,24 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     that both lack or both add, i and j are linked iff (100 - percent) c + (100 + percent) s >= w_i + w_j. Those linked
     to the leader have w <= (100 - percent) c and are in one component, so at least one, i, has more. It follows
     s > w_j / (100 + percent) for the other, and for i either the same or, as w_j >= percent s, s >= (w_i - (100 - percent) c) / 100.
-    A pair with s common elements of n shares one of the n - s + 1 rarest of each.
+    A pair with s common elements of n shares one of the n - s + 1 rarest of each, and of the first that they share, in
+    that order, both have at least s - 1 more behind it.
     """
     c, n, s = F.col("n_a"), F.col("n_b"), F.col("shared")
     w = 100 * (c - s) + percent * (n - s)
     over = w - (100 - percent) * c
     among = F.ceil((w + 1) / (100 + percent))
     need = F.when(F.col("linked"), among).otherwise(F.greatest(F.lit(1), F.least(among, F.ceil(over / 100))))
-    sized = first.withColumn("width", F.size("rest") - need + 1).where("width > 0").select("a", "b", "linked", "width", F.explode("rest").alias("element"))
+    sized = first.withColumn("width", F.size("rest") - need + 1).where("width > 0")
+    sized = sized.select("a", "b", "linked", "width", F.size("rest").alias("size"), w.alias("w"), ((100 - percent) * c).alias("allowed"), F.explode("rest").alias("element"))
     sized = stash(sized.join(joined.select(F.col("id").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b")), "elements")
     common = sized.groupBy("a", "element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("linked").alias("all_linked"))
     rarest = Window.partitionBy("a", "b").orderBy("times", "element")
     prefix = sized.join(common, ["a", "element"]).withColumn("place", F.row_number().over(rarest)).where("place <= width and low < high and not all_linked")
-    prefix = stash(prefix.select("a", "element", "b", "linked", "component"), "prefixes")
-    loose = prefix.where("not linked").select("a", "element", F.col("b").alias("i"), F.col("component").alias("component_i"))
-    pairs = loose.join(prefix, ["a", "element"]).where("component <> component_i and (linked or i < b)")
+    prefix = stash(prefix.select("a", "element", "b", "linked", "component", "w", "allowed", (F.col("size") - F.col("place") + 1).alias("ahead")), "prefixes")
+    loose = prefix.where("not linked").select("a", "element", F.col("b").alias("i"), F.col("component").alias("component_i"), F.col("w").alias("w_i"), F.col("ahead").alias("ahead_i"))
+    enough = (100 + percent) * F.least("ahead", "ahead_i") >= F.col("w") + F.col("w_i") - F.col("allowed")
+    pairs = loose.join(prefix, ["a", "element"]).where("component <> component_i and (linked or i < b)").where(enough)
     return pairs.select(F.least("i", "b").alias("a"), F.greatest("i", "b").alias("b")).distinct()
 
 
@@ -201,6 +204,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rows = 5 if percent >= 85 else 4
     sets = stash(sketches(docs, k), "sketches")
     classes = sets.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    classes = stash(classes, "classes")
     members = stash(sets.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"), F.when(F.col("doc_id") == F.col("first"), F.col("sketch")).alias("sketch")), "members")
     firsts = members.where("sketch is not null").select(F.col("doc_id").alias("id"), "sketch", F.col("n_shingles").alias("n")).dropDuplicates(["id"])
     bands = stash(banded(firsts, rows), "bands")
