@@ -188,21 +188,22 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encode, decode and digest in one pass, so that no decoded text is sent on."""
+def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids): encode, decode and digest in one pass, so that no decoded text is sent on."""
     arrow_batches(docs.sparkSession)
     sha = hashlib.sha256
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
         for b in batches:
-            counts, of_ids, of_text = [], [], []
-            for t in b.column("text"):
-                ids = bpe.encode(t.as_py())
-                counts.append(len(ids) // 4)
-                of_ids.append(sha(ids).hexdigest())
-                of_text.append(sha(bpe.decode(ids).encode("utf-8")).hexdigest())
-            yield pa.record_batch([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            ids = [bpe.encode(t.as_py()) for t in b.column("text")]
+            columns = {
+                "doc_id": b.column("doc_id"),
+                "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
+                "ids_sha256": pa.array([sha(i).hexdigest() for i in ids], pa.string()),
+                "decoded_sha256": pa.array([sha(bpe.decode(i).encode("utf-8")).hexdigest() for i in ids], pa.string()),
+            }
+            yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(ids, pa.binary())} if with_ids else {}))
 
     found = texts(docs)
-    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)

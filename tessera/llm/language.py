@@ -48,10 +48,12 @@ def letters() -> np.ndarray:
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of the letters of some words, and each one's word. Anything but a letter ends a word."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     code = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le"), "<u4").copy()
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), lengths + 1)
-    owner = np.append(owner[:1] if len(owner) else np.zeros(1, np.int64), owner)[: len(code)]
+    owner = np.append(0, owner)
     real = letters()[code]
     code[~real] = 32
     # the space before a word belongs to it

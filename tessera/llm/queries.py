@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, exact_dedup, language, mixing, near_dedup, substring_dedup, token_counts, winnowing
+from tessera.llm import bpe, chat, exact_dedup, language, mixing, near_dedup, pii, substring_dedup, token_counts, winnowing
 from tessera.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(documents(spark, sf_dir)))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
@@ -59,6 +63,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
+    "op3_pii": op3_pii,
     "op4_token_counts": op4_token_counts,
     "op5_chat": op5_chat,
     "op6_language": op6_language,
