@@ -61,7 +61,7 @@ def forget(spark: SparkSession | None = None) -> None:
 atexit.register(forget)
 
 
-def arrow_batches(spark: SparkSession, rows: int = 1024, mb: int = 16) -> None:
+def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 8) -> None:
     """Bound what one Arrow batch of whole texts can take in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")

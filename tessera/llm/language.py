@@ -199,12 +199,16 @@ def held_out(doc_id: Column) -> Column:
 
 def labelled(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
     """At most `rows` rows (text, language), as many of each language as there are, up to an even share."""
-    open_ = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang")
-    langs = open_.select("lang").distinct().limit(rows).count()
+    open_ = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("spot"))
+    counts = open_.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(rows)
+    langs = counts.count()
     if not langs:
         return []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = open_.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= max(1, rows // langs)).select(F.col("doc_id").alias("picked")).distinct()
+    each = max(1, rows // langs)
+    # of a language with many rows only the spots that hold about three times as many as are wanted are ranked
+    near = open_.join(F.broadcast(counts), "lang").where(F.pmod("spot", F.lit(1 << 20)) * F.col("n") <= F.lit((1 << 20) * (3 * each + 30)))
+    order = Window.partitionBy("lang").orderBy(F.pmod("spot", F.lit(1 << 20)), "spot", "doc_id")
+    picked = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each).select(F.col("doc_id").alias("picked")).distinct()
     found = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked"), "left_semi").where("lang is not null").select("text", "lang", "doc_id")
     return [(r.text, r.lang) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.lang, r.text))]
 
