@@ -23,13 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tessera.llm.common import arrow_batches, texts
+from tessera.llm.common import arrow_batches, texts, tidied
 
 NO_RANK = 1 << 60
 LONG_WORD = 128
 #: Beyond these scripts Unicode versions differ; such texts are split by the library's own tables.
 LATER = regex.compile("[^\0-\u052f]").search
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 CACHED_LENGTH = 48
 
 
@@ -65,7 +65,7 @@ class WordBPE:
         self.words = regex.compile(split).findall
         self.marks = regex.compile("|".join(map(regex.escape, self.special)))
         self.cache: dict[str, bytes] = {}
-        self.library = Tokenizer.from_file(path)
+        self.path, self.library = path, None
         self.byte_of = {s: b for b, s in enumerate(symbols)}
 
     def merge_short(self, parts: list[int]) -> list[int]:
@@ -131,6 +131,7 @@ class WordBPE:
         if text.isascii():
             words = self.words(text.lower())
         elif LATER(text):
+            self.library = self.library or Tokenizer.from_file(self.path)
             split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             words = [bytes(map(self.byte_of.__getitem__, w)).decode("utf-8") for w, _ in split]
         else:
@@ -172,7 +173,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             yield pa.record_batch([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     found = texts(docs)
-    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return found.mapInArrow(tidied(run), f"doc_id {found.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -185,7 +186,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.record_batch([b.column("doc_id"), pa.array(back, pa.string())], ["doc_id", "text"])
 
     found = encoded.select("doc_id", "ids")
-    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, text string")
+    return found.mapInArrow(tidied(run), f"doc_id {found.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
@@ -206,4 +207,4 @@ def round_trip_digests(docs: DataFrame, path: str, with_ids: bool = False) -> Da
             yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(ids, pa.binary())} if with_ids else {}))
 
     found = texts(docs)
-    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    return found.mapInArrow(tidied(run), f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches
+from tessera.llm.common import arrow_batches, tidied
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def segments(conversations: DataFrame, template: Template = TEMPLATE) -> DataFra
     schema = pa.schema([("conv_id", pa.int64()), ("nth", pa.int64()), ("part", pa.int32()), ("text", pa.string()), ("loss", pa.bool_()), ("valid", pa.bool_())])
     rows = conversations.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return rows.mapInArrow(run, "conv_id long, nth long, part int, text string, loss boolean, valid boolean")
+    return rows.mapInArrow(tidied(run), "conv_id long, nth long, part int, text string, loss boolean, valid boolean")
 
 
 def formatted(conversations: DataFrame, template: Template = TEMPLATE) -> DataFrame:
@@ -125,4 +125,4 @@ def read_back(found: DataFrame, template: Template = TEMPLATE) -> DataFrame:
         if held is not None:
             yield pa.RecordBatch.from_pylist([row()], schema)
 
-    return found.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+    return found.mapInArrow(tidied(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.shipping import ship
+
 #: The words of a text: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,6 +21,7 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -62,11 +68,26 @@ atexit.register(forget)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 8) -> None:
-    """Bound what one Arrow batch of whole texts can take in a Python worker."""
+    """Bound what one Arrow batch of whole texts can take in a Python worker, which gets this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function that gives its free memory back when a task ends: workers live on and would keep it."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return wrapped
+
+
 def input_bytes(df: DataFrame) -> int:
     """What the optimizer takes the plan's input to be, in bytes, 0 if it can't tell: sizes partitions, never decides on rows."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches, texts
+from tessera.llm.common import arrow_batches, texts, tidied
 
 #: Labelled rows to fit on, in all languages together.
 TRAIN_ROWS = 3000
 DIM = 8192
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 UNKNOWN = "und"
 FAMILIES = {
     "germanic": ("af", "da", "de", "en", "fy", "is", "lb", "nb", "nl", "nn", "no", "sv", "yi"),
@@ -80,19 +80,22 @@ def features(text: str) -> np.ndarray:
     return (np.bincount(h, minlength=DIM) / max(1, len(h))).astype(np.float32)
 
 
-def machine(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 12) -> tuple[np.ndarray, float, float]:
-    """Weights, bias and slope of a linear support vector machine (hinge loss, dual coordinate descent); y is 1 or -1."""
+def machine(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 12) -> tuple[np.ndarray, float, float]:
+    """Weights, bias and slope of a linear support vector machine (hinge loss, dual coordinate descent) for some rows.
+
+    The last column of `x` is 1; `y` is 1 or -1 for every row of it. `x` is never copied.
+    """
     rnd = np.random.default_rng(17)
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w, alpha, square = np.zeros(x.shape[1], np.float32), np.zeros(len(x)), (x * x).sum(axis=1)
-    cost = np.where(y > 0, len(y) / max(1, 2 * (y > 0).sum()), len(y) / max(1, 2 * (y < 0).sum())) * c
+    w, alpha, square = np.zeros(x.shape[1], np.float32), np.zeros(len(x)), np.einsum("ij,ij->i", x, x)
+    yes, no = (y[rows] > 0).sum(), (y[rows] < 0).sum()
+    cost = np.where(y > 0, len(rows) / max(1, 2 * yes), len(rows) / max(1, 2 * no)) * c
     for _ in range(rounds):
-        for i in rnd.permutation(len(x)):
+        for i in rnd.permutation(rows):
             step = np.clip(alpha[i] - (y[i] * (x[i] @ w) - 1) / square[i], 0, cost[i]) - alpha[i]
             if step:
                 alpha[i] += step
                 w += np.float32(step * y[i]) * x[i]
-    margin, slope = y * (x @ w), 1.0
+    margin, slope = (y * (x @ w))[rows], 1.0
     for _ in range(30):  # the slope of a logistic curve through the margins
         p = 1 / (1 + np.exp(-np.clip(slope * margin, -30, 30)))
         slope = float(np.clip(slope + ((1 - p) @ margin - 0.01 * slope) / max(1e-6, (p * (1 - p)) @ margin**2 + 0.01), 0.1, 8))
@@ -142,18 +145,19 @@ def fit(some: list[tuple[str, str]], families: dict[str, tuple[str, ...]] = FAMI
     found = [groups[g] for g in sorted(groups)]
     if not found:
         return LanguageModel([[UNKNOWN]], np.zeros((DIM, 1), np.float32), np.zeros(1), np.ones(1))
-    x = np.array([features(t) for t, _ in some], np.float32).reshape(-1, DIM)
+    x = np.ones((len(some), DIM + 1), np.float32)
+    for i, (text, _) in enumerate(some):
+        x[i, :DIM] = features(text)
     y = np.array([lang for _, lang in some], object)
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
-    x *= scale
+    scale = 1 / np.sqrt(x[:, :DIM].mean(axis=0) + 1e-6)
+    x[:, :DIM] *= scale
     made = []
     if len(found) > 1:
-        made += [machine(x, np.where(np.isin(y, members), 1, -1)) for members in found]
+        made += [machine(x, np.arange(len(x)), np.where(np.isin(y, members), 1, -1)) for members in found]
     for members in found:
         for i, a in enumerate(members):
             for b in members[i + 1 :]:
-                rows = np.isin(y, [a, b])
-                made.append(machine(x[rows], np.where(y[rows] == a, 1, -1)))
+                made.append(machine(x, np.flatnonzero(np.isin(y, [a, b])), np.where(y == a, 1, -1)))
     if not made:
         return LanguageModel(found, np.zeros((DIM, 1), np.float32), np.zeros(1), np.ones(1))
     weights = np.stack([w * scale for w, _, _ in made], axis=1).astype(np.float32)
@@ -228,7 +232,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = texts(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidied(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches, stash, texts
+from tessera.llm.common import arrow_batches, stash, texts, tidied
 from tessera.llm.components import components
 from tessera.llm.exact_dedup import bounded
 from tessera.llm.shingles import ODD, mixed, shingle_set
@@ -36,7 +36,7 @@ REGISTERS = 128
 MANTISSA = 10
 EMPTY = 0xFFFF
 SMALL = 16
-ROUNDS = 3
+ROUNDS = 2
 SLACK = 0.2
 
 
@@ -79,7 +79,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 prints.append(sketch(s).tobytes() if len(s) else None)
             yield pa.record_batch([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(prints, pa.binary())], ["doc_id", "n_shingles", "digest", "sketch"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary")
+    return texts(docs).mapInArrow(tidied(run), "doc_id long, n_shingles long, digest binary, sketch binary")
 
 
 def banded(firsts: DataFrame, rows: int) -> DataFrame:
@@ -100,21 +100,21 @@ def banded(firsts: DataFrame, rows: int) -> DataFrame:
                 owners.append(ids[some])
             yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], ["key", "id"])
 
-    return firsts.select("id", "sketch").mapInArrow(run, "key long, id long")
+    return firsts.select("id", "sketch").mapInArrow(tidied(run), "key long, id long")
 
 
 def plausible(pairs: DataFrame, firsts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose estimate is at least `least`."""
+    """The pairs (a, b) of documents (id, sketch, n) whose estimate is at least `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = [np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("sketch_a", "sketch_b")]
             n, m = (b.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            near = pa.array((estimate(*held, n, m) >= least) & (np.minimum(n, m) >= (least + SLACK) * np.maximum(n, m) - 1e-9))
+            near = pa.array(estimate(*held, n, m) >= least)
             yield pa.record_batch([b.column("a").filter(near), b.column("b").filter(near)], ["a", "b"])
 
     side = lambda x: firsts.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}"), F.col("n").alias(f"n_{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long")
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidied(run), "a long, b long")
 
 
 def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = False) -> DataFrame:
@@ -145,10 +145,10 @@ def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = Fals
                 columns["rest"] = pa.array(rest, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    held = texts(docs).join(named, F.col("doc_id") == F.col("named"), "left_semi").mapInArrow(of_sets, "doc_id long, held binary")
+    held = texts(docs).join(named, F.col("doc_id") == F.col("named"), "left_semi").mapInArrow(tidied(of_sets), "doc_id long, held binary")
     held = stash(held.dropDuplicates(["doc_id"]), "sets")
     side = lambda x: held.select(F.col("doc_id").alias(x), F.col("held").alias(f"held_{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long, n_a long, n_b long, shared long" + ", rest array<long>" * differences)
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidied(run), "a long, b long, n_a long, n_b long, shared long" + ", rest array<long>" * differences)
 
 
 def linked(percent: int):
@@ -156,14 +156,20 @@ def linked(percent: int):
     return 100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
 
 
-def led(crowded: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Documents of large buckets (key, id, score) against leaders: the first round with differences, and all links."""
+def led(crowded: DataFrame, firsts: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Documents of large buckets (key, id, score) against leaders: the first round with differences, and all links.
+
+    Rounds after the first gather what the first leader left in large groups of its own; only pairs whose estimate
+    reaches the threshold are compared there, as what they miss is found by differences all the same.
+    """
     left, first, links = crowded, None, []
     for turn in range(ROUNDS):
         best = left.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"), F.count(F.lit(1)).alias("n"))
         best = best.where(F.col("n") > (1 if not turn else SMALL)).select("key", (-F.col("best.minus")).alias("a"))
         star = stash(left.join(best, "key").where("id <> a").select("key", "a", F.col("id").alias("b"), "score"), "star")
-        found = stash(compared(star.select("a", "b").distinct(), docs, k, not turn).withColumn("linked", linked(percent)), "led")
+        pairs = star.select("a", "b").distinct()
+        pairs = stash(plausible(pairs, firsts, percent / 100), "again") if turn else pairs
+        found = stash(compared(pairs, docs, k, not turn).withColumn("linked", linked(percent)), "led")
         first = found if first is None else first
         links.append(found.where("linked").select("a", "b"))
         left = stash(star.join(found.where("linked").select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("b").alias("id"), "score"), "left")
@@ -217,11 +223,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     many = shared.where(f"size > {SMALL}")
     if not many.isEmpty():
         scores = many.groupBy("id").agg(F.sum("size").alias("score"))
-        first, more = led(stash(many.join(scores, "id").select("key", "id", "score"), "crowded"), docs, k, percent)
-        links = [stash(links[0], "linked"), *more]
-        joined = components(links[0].unionByName(more[0]) if len(more) == 1 else union(links))
+        first, more = led(stash(many.join(scores, "id").select("key", "id", "score"), "crowded"), firsts, docs, k, percent)
+        joined = components(stash(union([*links, *more]), "led-links"))
         rest = stash(differing_alike(first, joined, percent), "rest")
-        links.append(compared(rest, docs, k).where(linked(percent)).select("a", "b"))
+        extra = compared(rest, docs, k).where(linked(percent)).select("a", "b")
+        links = [joined.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")), extra]
     found = components(stash(union(links), "all-links"))
     out = members.join(found, F.col("first") == F.col("id"), "left").withColumn("component_id", F.coalesce("component", "first"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

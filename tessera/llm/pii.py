@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tessera.llm import boosting
-from tessera.llm.common import arrow_batches, texts
+from tessera.llm.common import arrow_batches, texts, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.98
@@ -240,7 +240,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     rows = texts(docs)
     kind = "array<struct<kind:string,start:int,end:int>>"
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, base {kind}, added {kind}")
+    return rows.mapInArrow(tidied(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, base {kind}, added {kind}")
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -256,4 +256,4 @@ def digests(found: DataFrame) -> DataFrame:
             yield pa.record_batch([b.column("doc_id"), *counts, shas, pa.array(map(joined, both), pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
+    return found.mapInArrow(tidied(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")

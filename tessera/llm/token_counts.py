@@ -16,7 +16,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import arrow_batches, texts
+from tessera.llm.common import arrow_batches, texts, tidied
 
 BATCH_BYTES = 1 << 20
 LONG_TEXT = 1 << 15
@@ -79,4 +79,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
             )
 
     found = texts(docs)
-    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
+    return found.mapInArrow(tidied(run), f"doc_id {found.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
