@@ -192,12 +192,17 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     over = w - (100 - percent) * c
     among = F.ceil((w + 1) / (100 + percent))
     need = F.when(F.col("linked"), among).otherwise(F.greatest(F.lit(1), F.least(among, F.ceil(over / 100))))
-    sized = first.withColumn("width", F.size("rest") - need + 1).where("width > 0")
-    sized = sized.select("a", "b", "linked", "width", F.size("rest").alias("size"), w.alias("w"), ((100 - percent) * c).alias("allowed"), F.explode("rest").alias("element"))
-    sized = stash(sized.join(joined.select(F.col("id").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b")), "elements")
+    pairs = first.withColumns({"width": F.size("rest") - need + 1, "w": w, "allowed": (100 - percent) * c})
+    pairs = pairs.join(joined.select(F.col("id").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    # leaders with several documents, not all linked, not all of one component
+    open_ = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"), F.min("component").alias("low"), F.max("component").alias("high"))
+    pairs = pairs.join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi").where("width > 0")
+    sized = stash(pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element")), "elements")
     common = sized.groupBy("a", "element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("linked").alias("all_linked"))
-    rarest = Window.partitionBy("a", "b").orderBy("times", "element")
-    prefix = sized.join(common, ["a", "element"]).withColumn("place", F.row_number().over(rarest)).where("place <= width and low < high and not all_linked")
+    # elements that only one document has come first and need no join: their number is what is missing
+    own = Window.partitionBy("a", "b")
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "element"))
+    prefix = sized.join(common.where("times > 1"), ["a", "element"]).withColumn("place", place).where("place <= width and low < high and not all_linked")
     prefix = stash(prefix.select("a", "element", "b", "linked", "component", "w", "allowed", (F.col("size") - F.col("place") + 1).alias("ahead")), "prefixes")
     loose = prefix.where("not linked").select("a", "element", F.col("b").alias("i"), F.col("component").alias("component_i"), F.col("w").alias("w_i"), F.col("ahead").alias("ahead_i"))
     enough = (100 + percent) * F.least("ahead", "ahead_i") >= F.col("w") + F.col("w_i") - F.col("allowed")
