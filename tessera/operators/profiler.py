@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tessera.sources.sinks import markdown
 
 TEXT_FIELDS = ("business_name", "business_address", "country")
-TRUTH_IDS = F.col
 
 
 def percent(part: Column, whole: Column) -> Column:

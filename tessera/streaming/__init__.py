@@ -1,0 +1 @@
+"""Matching reference records as they arrive."""
