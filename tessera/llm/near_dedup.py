@@ -38,6 +38,8 @@ EMPTY = 0xFFFF
 SMALL = 16
 ROUNDS = 2
 SLACK = 0.2
+#: Documents that differ from one leader in the same shingle and are counted by a window; beyond, the shingle comes last.
+HOT_ELEMENT = 100_000
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -184,8 +186,8 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     that both lack or both add, i and j are linked iff (100 - percent) c + (100 + percent) s >= w_i + w_j. Those linked
     to the leader have w <= (100 - percent) c and are in one component, so at least one, i, has more. It follows
     s > w_j / (100 + percent) for the other, and for i either the same or, as w_j >= percent s, s >= (w_i - (100 - percent) c) / 100.
-    A pair with s common elements of n shares one of the n - s + 1 rarest of each, and of the first that they share, in
-    that order, both have at least s - 1 more behind it.
+    In any one order a pair with s common elements of n shares one of the first n - s + 1 of each, and of the first that
+    they share both have at least s - 1 more behind it.
     """
     c, n, s = F.col("n_a"), F.col("n_b"), F.col("shared")
     w = 100 * (c - s) + percent * (n - s)
@@ -198,11 +200,16 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     open_ = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"), F.min("component").alias("low"), F.max("component").alias("high"))
     pairs = pairs.join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi").where("width > 0")
     sized = stash(pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element")), "elements")
-    common = sized.groupBy("a", "element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("linked").alias("all_linked"))
-    # elements that only one document has come first and need no join: their number is what is missing
-    own = Window.partitionBy("a", "b")
-    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "element"))
-    prefix = sized.join(common.where("times > 1"), ["a", "element"]).withColumn("place", place).where("place <= width and low < high and not all_linked")
+    # in order: first what can find nothing (one document's own, or shared by linked ones or one component only), then the rarest
+    own, alike = Window.partitionBy("a", "b"), Window.partitionBy("a", "element")
+    finds = (F.min("component").over(alike) < F.max("component").over(alike)) & ~F.min("linked").over(alike)
+    hot = stash(sized.groupBy("a", "element").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ELEMENT).select("a", "element"), "hot-elements")
+    if hot.isEmpty():
+        counted = sized.withColumns({"times": F.count(F.lit(1)).over(alike), "finds": finds})
+    else:  # a window never takes more than HOT_ELEMENT rows; more frequent elements come last, uncounted
+        some = sized.join(hot, ["a", "element"], "left_anti").withColumns({"times": F.count(F.lit(1)).over(alike), "finds": finds})
+        counted = some.unionByName(sized.join(hot, ["a", "element"], "left_semi").withColumns({"times": F.lit(HOT_ELEMENT + 1).cast("long"), "finds": F.lit(True)}))
+    prefix = counted.withColumn("place", F.row_number().over(own.orderBy("finds", "times", "element"))).where("place <= width and finds")
     prefix = stash(prefix.select("a", "element", "b", "linked", "component", "w", "allowed", (F.col("size") - F.col("place") + 1).alias("ahead")), "prefixes")
     loose = prefix.where("not linked").select("a", "element", F.col("b").alias("i"), F.col("component").alias("component_i"), F.col("w").alias("w_i"), F.col("ahead").alias("ahead_i"))
     enough = (100 + percent) * F.least("ahead", "ahead_i") >= F.col("w") + F.col("w_i") - F.col("allowed")

@@ -53,8 +53,9 @@ def corpus(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
-def test_against_all_pairs(spark, k, percent):
+@pytest.mark.parametrize(("k", "percent", "hot"), [(3, 85, 100_000), (5, 80, 100_000), (3, 85, 3)])
+def test_against_all_pairs(spark, monkeypatch, k, percent, hot):
+    monkeypatch.setattr(near_dedup, "HOT_ELEMENT", hot)
     rows = corpus(k)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, key string, component long")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, k, percent).collect()}
