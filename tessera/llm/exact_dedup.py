@@ -77,7 +77,10 @@ def exact_classes(docs: DataFrame, keep: str = "smallest") -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; of rows that repeat an identifier and a text, one."""
+    """The rows of `docs` that stay, with all their columns; of rows that repeat an identifier and a text, one.
+
+    Rows without an identifier can't be told apart and stay.
+    """
     found = stash(exact_classes(docs, keep).select("doc_id", "keep_id", "kept", "group_size"), "kept")
     lost = bounded(found.where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct())
     left = docs.join(lost, F.col("doc_id") == F.col("lost_id"), "left_anti")

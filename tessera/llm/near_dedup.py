@@ -194,11 +194,11 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     over = w - (100 - percent) * c
     among = F.ceil((w + 1) / (100 + percent))
     need = F.when(F.col("linked"), among).otherwise(F.greatest(F.lit(1), F.least(among, F.ceil(over / 100))))
-    pairs = first.withColumns({"width": F.size("rest") - need + 1, "w": w, "allowed": (100 - percent) * c})
-    pairs = pairs.join(joined.select(F.col("id").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    # leaders with several documents, not all linked, not all of one component
-    open_ = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"), F.min("component").alias("low"), F.max("component").alias("high"))
-    pairs = pairs.join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi").where("width > 0")
+    # leaders with several documents, not all linked, not all of one component; on narrow rows, as a leader may have very many
+    narrow = first.select("a", "b", "linked").join(joined.select(F.col("id").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    open_ = narrow.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"), F.min("component").alias("low"), F.max("component").alias("high"))
+    narrow = stash(narrow.drop("linked").join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi"), "open")
+    pairs = first.join(narrow, ["a", "b"]).withColumns({"width": F.size("rest") - need + 1, "w": w, "allowed": (100 - percent) * c}).where("width > 0")
     sized = stash(pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element")), "elements")
     # in order: first what can find nothing (one document's own, or shared by linked ones or one component only), then the rarest
     own, alike = Window.partitionBy("a", "b"), Window.partitionBy("a", "element")
