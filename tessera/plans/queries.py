@@ -282,8 +282,14 @@ def _(spark, sf_dir):
 
 @query("pairs_b_country", "SELECT s1_id, tgt_id FROM (SELECT *, max(same) OVER (PARTITION BY s1_id) AS any_same FROM same_b) WHERE same OR NOT any_same")
 def _(spark, sf_dir):
+    """Over exact keys, as its SQL is; pairs_b_country_all has the bigrams too."""
+    return pairs_b_country(spark, sf_dir, bigrams=None)
+
+
+@query("pairs_b_country_all")
+def pairs_b_country(spark, sf_dir, bigrams=3):
     s1, targets = normal_b(spark, sf_dir)
-    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams=None), s1.select("entity_id", "country_norm"), targets.select("entity_id", "country_norm"))
+    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams), s1.select("entity_id", "country_norm"), targets.select("entity_id", "country_norm"))
     return blocking.same_country(pairs).select("s1_id", "tgt_id")
 
 
@@ -313,15 +319,21 @@ AGREE_B = lambda c, op: f"(CASE WHEN s.{c} <> '' AND t.{c} <> '' AND s.{c} {op}
        FROM exact_b JOIN norm_b s ON s.entity_id = s1_id JOIN norm_b t ON t.entity_id = tgt_id""",
 )
 def _(spark, sf_dir):
+    """Over exact keys, as its SQL is; features_b_native_all has the bigrams too."""
+    return features_b_native(spark, sf_dir, bigrams=None)
+
+
+@query("features_b_native_all")
+def features_b_native(spark, sf_dir, bigrams=3):
     s1, targets = normal_b(spark, sf_dir)
-    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams=None), s1, targets)
+    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams), s1, targets)
     return rounded(pairs.withColumns(profile_b.native_features()).select("s1_id", "tgt_id", *NATIVE_B))
 
 
 @query("features_b")
 def _(spark, sf_dir):
     s1, targets = normal_b(spark, sf_dir)
-    return profile_b.features(blocking.with_records(blocking.candidates_b(s1, targets, bigrams=None), s1, targets)).select("s1_id", "tgt_id", *profile_b.FEATURES)
+    return profile_b.features(blocking.with_records(blocking.candidates_b(s1, targets), s1, targets)).select("s1_id", "tgt_id", *profile_b.FEATURES)
 
 
 @query("token_functions_b", f"SELECT entity_id, array_to_string(list_filter({words('name_tokens_str')}, lambda w: length(w) >= 3 AND w NOT IN ('the','and','of','in','at','to','for','a','an','de','du','la','le','les','et','en','ki','ka','ke','aur','se')), ',') AS strong FROM norm_b")
@@ -331,8 +343,14 @@ def _(spark, sf_dir):
 
 @query("similarity_jaro_winkler", "SELECT s1_id, tgt_id, round(jaro_winkler_similarity(s.name_punct, t.name_punct), 6) AS similarity FROM exact_b JOIN norm_b s ON s.entity_id = s1_id JOIN norm_b t ON t.entity_id = tgt_id")
 def _(spark, sf_dir):
+    """Over exact keys, as its SQL is; similarity_jaro_winkler_all has the bigrams too."""
+    return similarity_jaro_winkler(spark, sf_dir, bigrams=None)
+
+
+@query("similarity_jaro_winkler_all")
+def similarity_jaro_winkler(spark, sf_dir, bigrams=3):
     s1, targets = normal_b(spark, sf_dir)
-    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams=None), s1.select("entity_id", "name_punct"), targets.select("entity_id", "name_punct"))
+    pairs = blocking.with_records(blocking.pairs_b(s1, targets, bigrams), s1.select("entity_id", "name_punct"), targets.select("entity_id", "name_punct"))
     return rounded(pairs.select("s1_id", "tgt_id", similarity.jaro_winkler_of("s_name_punct", "t_name_punct").alias("similarity")))
 
 

@@ -87,3 +87,15 @@ def test_features_b(spark):
     row = found.where("s1_id = 'S1-001' and tgt_id = 'S2-101'").first()
     assert (row.addr_s1_blank, row.addr_both_present, row.country_equal, row.house_agree, row.shared_numeric_count, row.addr_ratio) == (0, 1, 1, 1, 1, 1)
     assert found.select(*profile_b.FEATURES).dropna().count() == found.count()
+
+
+def test_registered_queries_of_profile_b_use_bigrams(spark):
+    from tessera.plans.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    pairs = lambda name: {(r.s1_id, r.tgt_id) for r in QUERIES[name](spark, sf_dir).select("s1_id", "tgt_id").collect()}
+    retrieved, met = pairs("candidates_b"), pairs("pairs_b")
+    assert pairs("features_b") == retrieved
+    assert pairs("features_b_native_all") == pairs("similarity_jaro_winkler_all") == met
+    assert retrieved <= pairs("pairs_b_country_all") <= met
+    assert met > pairs("similarity_jaro_winkler")
