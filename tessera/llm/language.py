@@ -13,7 +13,7 @@ without a language are predicted, never learned from; languages in no listed fam
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -236,8 +236,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of `docs`, with all their columns, that have a language."""
+    """The rows of `docs`, with all their columns, that have a language; of a model without any, those with letters."""
     arrow_batches(docs.sparkSession)
+    if model.families == [[UNKNOWN]]:  # nothing was labelled: a text with letters has a language, if not one of ours
+        model = replace(model, families=[["any"]])
 
     @F.pandas_udf("string")
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

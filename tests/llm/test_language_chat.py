@@ -96,3 +96,9 @@ def test_no_text_holds_a_control_string(talks):
     for r in chat.segments(table).where("part = 1").collect():
         assert not any(c in r.text for c in controls)
     assert chat.segments(table.limit(0)).count() == 0
+
+
+def test_no_labels_keep_texts_with_letters(spark):
+    rows = [(1, "some words", None), (2, None, None), (3, " 12 -- ", None), (4, "", None), (5, "ärger 7", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in language.accepted(docs, language.train(docs)).collect()) == [1, 5]
