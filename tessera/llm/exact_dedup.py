@@ -76,17 +76,23 @@ def exact_classes(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     return out(rows.join(split, "digest", "left_anti").join(classes, "digest")).unionByName(out(apart.join(checked, ["digest", "text_hash"])))
 
 
+def own_digest():
+    """The digest of the text of any row of documents, in which a null text counts as empty."""
+    return F.coalesce(digest(), F.unhex(F.sha2(F.lit("").cast("binary"), 256)))
+
+
 def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """The rows of `docs` that stay, with all their columns; of rows that repeat an identifier and a text, one.
 
-    Rows without an identifier can't be told apart and stay.
+    Rows are told apart by identifier (or none) and text: of a class without any identifier one row stays.
     """
-    found = stash(exact_classes(docs, keep).select("doc_id", "keep_id", "kept", "group_size"), "kept")
-    lost = bounded(found.where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct())
-    left = docs.join(lost, F.col("doc_id") == F.col("lost_id"), "left_anti")
-    again = found.where("kept and group_size > 1").groupBy("keep_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    found = stash(exact_classes(docs, keep).where("group_size > 1").select("doc_id", "kept", "digest"), "kept")
+    named = lambda rows: rows.select(F.col("doc_id").alias("found_id"), F.col("digest").alias("found_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (own_digest() == F.col("found_digest"))
+    left = docs.join(bounded(named(found.where(~F.col("kept"))).distinct()), same, "left_anti")
+    again = stash(named(found.where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1")), "again")
     if again.isEmpty():
         return left
-    twice = bounded(again.select(F.col("keep_id").alias("again_id")))
-    same = F.col("doc_id").eqNullSafe(F.col("again_id"))
-    return left.join(twice, same, "left_anti").unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    twice = bounded(again)
+    once = left.join(twice, same, "left_semi").withColumn("found_digest", own_digest()).dropDuplicates(["doc_id", "found_digest"]).drop("found_digest")
+    return left.join(twice, same, "left_anti").unionByName(once)

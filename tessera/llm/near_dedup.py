@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_batches, stash, texts, tidied
 from tessera.llm.components import components
-from tessera.llm.exact_dedup import bounded
+from tessera.llm.exact_dedup import bounded, own_digest
 from tessera.llm.shingles import ODD, mixed, shingle_set
 
 REGISTERS = 128
@@ -252,7 +252,24 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, number: every identifier and text once, numbered in this order, rows without an identifier last."""
+    pairs = docs.select("doc_id", own_digest().alias("digest")).distinct().orderBy(F.col("doc_id").asc_nulls_last(), "digest")
+    pairs = stash(pairs, "ordered").orderBy(F.col("doc_id").asc_nulls_last(), "digest")
+    kind = pairs.schema["doc_id"].dataType.simpleString()
+    return stash(pairs.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF(f"doc_id {kind}, digest binary, number long"), "numbered")
+
+
 def drop_near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, with all their columns, that stand for their component."""
-    lost = bounded(stash(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct(), "lost"))
-    return docs.join(lost, F.col("doc_id") == F.col("lost_id"), "left_anti")
+    """The rows of `docs`, with all their columns, that stand for their component; those without an identifier come last.
+
+    Where an identifier is missing or comes again, rows are numbered by identifier and text, and go by their numbers.
+    """
+    lost = lambda rows: bounded(stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct(), "lost"))
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
+        return docs.join(lost(docs), F.col("doc_id") == F.col("lost_id"), "left_anti")
+    of = numbered(docs).select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "number")
+    held = docs.join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (own_digest() == F.col("of_digest"))).drop("of_id", "of_digest")
+    held = stash(held, "held")
+    gone = lost(held.select(F.col("number").alias("doc_id"), "text"))
+    return held.join(gone, F.col("number") == F.col("lost_id"), "left_anti").drop("number")

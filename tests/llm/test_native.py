@@ -97,6 +97,12 @@ def test_exact(docs):
     assert exact_dedup.exact_classes(docs.limit(0)).count() == 0
 
 
+def test_drop_copies_goes_by_identifier_and_text(spark):
+    rows = [(1, "a"), (2, "a"), (2, "b"), (None, "a"), (None, "c"), (None, "c"), (3, None), (3, ""), (3, "d"), (3, "d")]
+    left = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, "c"), (1, "a"), (2, "b"), (3, ""), (3, "d")]
+
+
 def test_exact_splits_a_digest_of_two_texts(docs, monkeypatch):
     monkeypatch.setattr(exact_dedup, "digest", lambda text="text": F.unhex(F.lpad(F.hex(F.char_length(text)), 8, "0")))
     groups = defaultdict(list)

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -64,6 +65,14 @@ def test_against_all_pairs(spark, monkeypatch, k, percent, hot):
     assert left.columns == docs.columns and left.count() == sum(i == c for i, (_, c) in got.items())
 
 
+def test_drop_near_goes_by_identifier_and_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " z"), (2, b), (None, b + " z"), (None, c), (None, c + " z"), (3, "d e f g h i")]
+    left = near_dedup.drop_near(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = Counter((r.doc_id, r.text[:1]) for r in left.collect())
+    assert kept == Counter({(1, "a"): 1, (2, "b"): 1, (None, "c"): 1, (3, "d"): 1})
+
+
 def test_repeated_rows_and_none(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (4, "A b c d"), (None, "a b c d")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in near_dedup.near_duplicates(docs).collect()) in ([(0, 1), (1, 1), (1, 1), (4, 1)], [(0, 0), (1, 1), (1, 1), (4, 1)])
