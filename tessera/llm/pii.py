@@ -36,8 +36,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: A digit, an at sign or one written out; texts without are done.
-ANY = re.compile(r"[0-9@]|[\[({]\s?(?:at|AT)\s?[\])}]|\s(?:dot|DOT)\s")
+#: What every pattern and generator needs: a digit, an at sign or one written out, or hex digits with colons; texts without are done.
+ANY = re.compile(r"[0-9@]|[\[({]\s?(?:at|AT)\s?[\])}]|\sat\s|[A-Fa-f]:[A-Fa-f:]")
 
 GENERATORS = (
     ("card", re.compile(r"(?<![0-9])(?=((?:[0-9]{4}[ -]?){3}[0-9]{1,7}|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}|[0-9]{12,19}))(?<!\w)")),

@@ -63,6 +63,15 @@ def test_added_spans():
         assert not added(clean), clean
 
 
+def test_no_digit_needed(spark):
+    said = ["write to jane at example (dot) org now", "mail jane at example.org please", "from host fe::ab", "ip a:b:c:d:e:f:a:b", "jane {AT} example.org", "x@y.de"]
+    assert all(pii.candidates(t) and pii.ANY.search(t) for t in said)
+    model = pii.detector()
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    got = {r.doc_id: [(x.start, x.end) for x in r.added] for r in pii.find(docs).collect()}
+    assert got == {i: [(a, b) for a, _, b in pii.added_spans(t, pii.base_spans(t), model)] for i, t in enumerate(said)}
+
+
 def test_query(spark):
     rows = [(1, None), (2, ""), (3, "mail a.b@c.de or 1.2.3.4"), (3, "mail a.b@c.de or 1.2.3.4"), (4, "é★ +1 (555) 555-1234, 4111 1111 1111 1111")]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, spans string")
