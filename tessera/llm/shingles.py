@@ -20,7 +20,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    if seed:
+        return np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64)
     known = _of_word
     if len(known) > CACHED_WORDS:
         known.clear()
