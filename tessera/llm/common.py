@@ -31,9 +31,11 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where that is unset, one of our own."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -68,10 +70,16 @@ atexit.register(forget)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 512, mb: int = 8) -> None:
-    """Bound what one Arrow batch of whole texts can take in a Python worker, which gets this package."""
+    """Bound what one Arrow batch of whole texts can take in a Python worker, which gets this package.
+
+    The settings are read when a plan runs, after the operator has returned, so they stay; one that the session has
+    been given a value for is left as it is.
+    """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")
+    given = spark.conf.getAll
+    for name, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)), ("spark.sql.execution.arrow.maxBytesPerBatch", f"{mb}m")):
+        if name not in given:
+            spark.conf.set(name, value)
 
 
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -88,6 +96,14 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return wrapped
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, made longer until `df` has no column of it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def input_bytes(df: DataFrame) -> int:
     """What the optimizer takes the plan's input to be, in bytes, 0 if it can't tell: sizes partitions, never decides on rows."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
