@@ -5,7 +5,7 @@ word is read once. In every window of `WINDOW` such hashes the least is chosen,
 doubling. Any run of K + WINDOW - 1 words that two texts share gives both at least one equal hash. The fingerprint keeps
 each chosen hash with the position of its first word.
 
-Cases: a null or empty text has no words and an empty fingerprint; a text of fewer than K words has one hash, of all its
+Cases: a null doc_id comes before all others, equal ones go by the text. A null or empty text has no words and an empty fingerprint; a text of fewer than K words has one hash, of all its
 words; one with fewer hashes than a window has the least of them. Two empty fingerprints are alike (1.0), an empty and
 another one are not (0.0).
 """
@@ -17,15 +17,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stash, texts
+from tessera.llm.common import tasks_for, texts, unused
 
 K = 5
 WINDOW = 16
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 LAST = (1 << 32) - 1
-#: Documents that are sorted together to find each one's successor, and blocks at most.
-BLOCK_ROWS, MOST_BLOCKS = 1024, 100_000
+NO_ID = -(1 << 63)
+#: Documents that are sorted together to find each one's successor, blocks at most (their bounds reach the driver), and
+#: stored input for each task that sorts blocks, in MB.
+BLOCK_ROWS, MOST_BLOCKS, TASK_MB = 512, 20_000, 8
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -86,37 +88,50 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+def dealt(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Every row of `docs` with its place (block, copy, wraps), and the names that it and its sort keys have.
+
+    Blocks are ranges of (doc_id, mark) of about `BLOCK_ROWS` rows, cut by sampled ranks, so that far-off identifiers
+    widen none; mark is a hash of the text where one identifier (or none) has more rows than a block, else 0. The first
+    rows of a block also go, as copies, to the block before; those of the first block to the last, where they wrap.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    n, most = docs.select(key.alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    mark = F.xxhash64(F.coalesce("text", F.lit(""))) if n and most > BLOCK_ROWS else F.lit(0).cast("long")
+    blocks = max(1, min(MOST_BLOCKS, (n or 0) // BLOCK_ROWS))
+    parts = docs.select(key.alias("id"), mark.alias("mark")).repartitionByRange(blocks, "id", "mark")
+    firsts = sorted(r.least for r in parts.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.min(F.struct("id", "mark")).alias("least")).collect()) or [(0, 0)]
+    # array literals, as the optimizer folds them
+    ids, marks = (F.split(F.lit(",".join(str(f[c]) for f in firsts)), ",").cast("array<bigint>") for c in (0, 1))
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(len(firsts).bit_length()))))
+    name = {c: unused(docs, c) for c in ("id", "mark", "place")}
+    held = docs.withColumns({name["id"]: key, name["mark"]: mark})
+    own, own_mark = F.col(name["id"]), F.col(name["mark"])
+
+    def reached(at: Column) -> Column:
+        return (F.get(ids, at) < own) | (F.get(ids, at) == own) & (F.get(marks, at) <= own_mark)
+
+    block = F.aggregate(steps, F.lit(0), lambda at, step: F.when(reached(at + step), at + step).otherwise(at))
+    held = held.withColumn(name["place"], block)
+    block = F.col(name["place"])
+    place = lambda at, copy, wraps: F.struct(at.alias("block"), F.lit(copy).alias("copy"), wraps.alias("wraps"))
+    both = F.array(place(block, 0, F.lit(False)), place((block + (len(firsts) - 1)) % len(firsts), 1, block == 0))
+    first = (F.get(ids, block) == own) & (F.get(marks, block) == own_mark)
+    places = F.when(first, both).otherwise(F.slice(both, 1, 1))
+    return held.withColumn(name["place"], F.explode(places)), name
+
+
 def with_next(docs: DataFrame, *carried: str) -> DataFrame:
     """`docs` (doc_id, text, ...) with next_<column> of the next row by doc_id, the first after the last.
 
-    Rows are dealt by ranges of doc_id of equal width; a range's first row also goes to the range before it, and the
-    very first one to the last range, so that the text is shuffled once and no task sorts more than a few ranges.
+    Rows of one identifier go by a hash of the text where they are many (see dealt()), and by the text; those without an
+    identifier come first. The text is shuffled once, and no task sorts more than a few blocks.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    ids = docs.select(key.alias("id"))
-    low, high, n = ids.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    if not n:
-        return docs.select("*", *(F.col(c).alias(f"next_{c}") for c in carried))
-    width = max(1, (high - low + 1) * max(BLOCK_ROWS, n // MOST_BLOCKS) // n)
-    block = F.expr(f"(id - {low}) div {width}") if low >= 0 else F.floor(F.col("id") / width)
-    in_turn = Window.orderBy("block")
-    firsts = stash(
-        ids.withColumn("block", block)
-        .groupBy("block")
-        .agg(F.min("id").alias("first_id"))
-        .withColumn("before", F.coalesce(F.lag("block").over(in_turn), F.last("block").over(in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-        .withColumn("wraps", F.col("first_id") == low),
-        "firsts",
-    )
-    dealt = (
-        docs.withColumn("id", key)
-        .withColumn("block", block)
-        .join(F.broadcast(firsts.drop("block")), F.col("id") == F.col("first_id"), "left")
-        .withColumn("place", F.explode(F.when(F.col("first_id").isNull(), F.array(F.struct("block", F.lit(0).alias("copy"), F.lit(False).alias("wraps")))).otherwise(F.array(F.struct("block", F.lit(0).alias("copy"), F.lit(False).alias("wraps")), F.struct(F.col("before").alias("block"), F.lit(1).alias("copy"), "wraps")))))
-    )
-    order = Window.partitionBy("place.block").orderBy("place.wraps", "id", "text", "place.copy")
-    led = dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried})
-    return led.where("place.copy = 0").drop("id", "block", "first_id", "before", "wraps", "place")
+    held, name = dealt(docs)
+    place = name["place"]
+    order = Window.partitionBy(f"{place}.block").orderBy(f"{place}.wraps", name["id"], name["mark"], "text", f"{place}.copy")
+    led = held.repartition(tasks_for(docs, TASK_MB), F.col(f"{place}.block")).withColumns({f"next_{c}": F.lead(c).over(order) for c in carried})
+    return led.where(F.col(f"{place}.copy") == 0).drop(name["id"], name["mark"], place)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

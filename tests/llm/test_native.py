@@ -1,12 +1,15 @@
 """Winnowing, mixing and exact dedup against plain Python."""
 
+import hashlib
+import random
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tessera.llm import exact_dedup, mixing, winnowing
+from tessera.llm import exact_dedup, language, mixing, winnowing
 
 ROWS = [
     (1, "one two three four five six seven eight nine ten eleven twelve", "a"),
@@ -62,26 +65,64 @@ def test_fingerprints(docs):
     assert by[1] == by[6]
 
 
-def test_edited(docs):
-    got = sorted(winnowing.edited_likeness(docs).collect())
-    ordered = sorted(ROWS, key=lambda r: r[0])
-    import hashlib
+def shown(prints):
+    return ",".join(f"{h:X}:{-at}" for h, at in prints)
 
-    assert len(got) == len(ROWS)
-    for r, (i, text, _), (_, after, _) in zip(got, ordered, [*ordered[1:], ordered[0]]):
+
+def alike(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def test_edited(spark):
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{rnd.randint(0, 60)}" for _ in range(rnd.randint(5, 120))) for _ in range(60)] + ["", None, " \n ", "ünï cödé ★ ë f g"]
+    texts += [t + " more of it" for t in texts[:20]]
+    rows = [(i * 7 - 50, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({c: F.lit(c) for c in ("id", "mark", "at", "part", "block", "place", "print", "edited")})
+    got = sorted(winnowing.edited_likeness(docs).collect())
+    assert len(got) == len(rows)
+    for r, (i, text), (_, after) in zip(got, rows, [*rows[1:], rows[0]]):
         text, half = text or "", len(text or "") // 2
         edited = text[: len(text) - half] + (after or "")[:half]
         assert (r.doc_id, r.n_chars, r.edited_sha256) == (i, len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        one, two, three = winnow(text), winnow(edited), winnow(after)
+        if one is not None:
+            assert r.fingerprint == shown([(h, -at) for h, at in one])
+        if two is not None:
+            assert r.edited_fingerprint == shown([(h, -at) for h, at in two])
+        if None not in (one, two):
+            assert r.near_edited == pytest.approx(alike(one, two))
+        if None not in (one, three):
+            assert r.near_next == pytest.approx(alike(one, three))
 
 
 def test_edited_of_few(spark):
     one = spark.createDataFrame([(5, "just one document here")], "doc_id long, text string")
     assert winnowing.edited_likeness(one).first().near_next == 1.0
     assert winnowing.edited_likeness(one.limit(0)).count() == 0
-    apart = spark.createDataFrame([(i * 10**15, f"text {i}") for i in range(-3, 40)], "doc_id long, text string")
-    led = winnowing.with_next(apart, "text").collect()
-    assert {r.doc_id: r.next_text for r in led} == {i * 10**15: f"text {i + 1 if i < 39 else -3}" for i in range(-3, 40)}
+
+
+def test_next_by_even_blocks(spark, monkeypatch):
+    """Far-off identifiers, none and many rows of one: the order holds, and no block takes more than a few times its share."""
+    monkeypatch.setattr(winnowing, "BLOCK_ROWS", 64)
+    rows = [(i * 10**15 if i % 7 == 0 else i, f"text {i}") for i in range(-300, 2000)] + [(1 << 61, "far"), (-(1 << 61), "far below")]
+    rows += [(None, f"none {i}") for i in range(700)] + [(77, f"again {i}") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    led = winnowing.with_next(docs, "text").collect()
+    assert Counter((r.doc_id, r.text) for r in led) == Counter(rows)
+    after, text = {(r.doc_id, r.text): r.next_text for r in led}, min((r for r in rows if r[0] is None), key=lambda r: xx(r[1]))[1]
+    at = lambda i, t: (i is not None, i or 0, xx(t))
+    ordered = sorted(rows, key=lambda r: at(*r))
+    assert ordered[0][1] == text
+    assert all(after[one] == two[1] for one, two in zip(ordered, [*ordered[1:], ordered[0]]))
+    sizes = [r["n"] for r in winnowing.dealt(docs)[0].where("place.copy = 0").groupBy("place.block").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 6 * 64
+
+
+def xx(text):
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def test_exact(docs):
@@ -97,6 +138,48 @@ def test_exact(docs):
     assert exact_dedup.exact_classes(docs.limit(0)).count() == 0
 
 
+def test_a_batch_reads_only_what_a_filter_lets_through(spark):
+    ids = spark.range(4000).select(F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("digest"), F.col("id").alias("doc_id"))
+    index = exact_dedup.DigestIndex()
+    assert index.add(ids.where("doc_id < 2000")).isEmpty()
+    run = index.runs[0]
+    assert run.passed(ids.where("doc_id < 2000").select("digest")).count() == 2000
+    strangers = run.passed(ids.where("doc_id >= 2000").select("digest")).count()
+    assert 0 < strangers < 2000 * 2 / exact_dedup.FILTER_BITS
+    # what the filter holds back is never looked up, even if the run has it
+    run.filter = run.filter.limit(0)
+    assert index.add(ids.where("doc_id between 1000 and 1999")).isEmpty()
+    index.compact()
+    assert len(index.runs) == 1 and index.runs[0].rows.count() == 2000
+    hits = index.add(ids.where("doc_id between 1500 and 2500").unionByName(ids.where("doc_id = 3000")).unionByName(ids.where("doc_id = 3000")))
+    assert hits.count() == 501
+    index.compact()
+    got = {r.least: (r.most, r.n) for r in index.runs[0].rows.join(hits, "digest").collect()}
+    assert got == {i: (i, 2 + (i < 2000)) for i in range(1500, 2000)} | {3000: (3000, 2)}
+
+
+def test_spread(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 4)
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate("aaaaaaaaaaaabbbcdefgh")], "key string, i int")
+    table = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(exact_dedup.spread(rows, table, "key", "n").select("i", "key", "n").collect()) == [(i, k, {"a": 12, "b": 3}.get(k, 1)) for i, k in enumerate("aaaaaaaaaaaabbbcdefgh")]
+
+
+def test_columns_of_any_name(spark):
+    names = ["found_id", "found_digest", "mix_id", "mix_size", "mix_copies", "mix_nth", "batch", "fourth", "n", "least", "most", "digest", "size", "block", "bit", "bits", "copies", "picked", "spot", "lang"]
+    docs = spark.createDataFrame([(i, f"text {i % 3}", "s") for i in range(9)], "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in names})
+    assert exact_dedup.drop_copies(docs).columns == docs.columns and exact_dedup.drop_copies(docs).count() == 3
+    assert mixing.emit(docs).columns == docs.columns
+    assert len(language.labelled(docs)) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(9)) and language.accepted(docs, language.train(docs)).columns == docs.columns
+
+
+def test_emit_tells_rows_of_one_id_apart(spark):
+    docs = spark.createDataFrame([(None, "w " * n, "s") for n in range(1, 200)], "doc_id long, text string, source string")
+    copies = {r["size"]: r.copies for r in mixing.mix(docs).collect()}
+    got = Counter(len(r.text) // 2 for r in mixing.emit(docs).collect())
+    assert got == {n: c for n, c in copies.items() if c}
+
+
 def test_drop_copies_goes_by_identifier_and_text(spark):
     rows = [(1, "a"), (2, "a"), (2, "b"), (None, "a"), (None, "c"), (None, "c"), (3, None), (3, ""), (3, "d"), (3, "d")]
     left = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"))
