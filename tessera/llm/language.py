@@ -74,10 +74,18 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashed).astype(np.int64), np.concatenate(owners)
 
 
-def features(text: str) -> np.ndarray:
+def counted(text: str) -> bytes:
+    """The hashed n-grams of a text (two bytes each), and how often each comes (four bytes each)."""
+    at, n = np.unique(grams(text.lower().split())[0], return_counts=True)
+    return at.astype("<u2").tobytes() + n.astype("<u4").tobytes()
+
+
+def features(counts: bytes) -> np.ndarray:
     """The share of each hashed n-gram."""
-    h, _ = grams(text.lower().split())
-    return (np.bincount(h, minlength=DIM) / max(1, len(h))).astype(np.float32)
+    some, out = len(counts) // 6, np.zeros(DIM, np.float32)
+    n = np.frombuffer(counts, "<u4", offset=2 * some)
+    out[np.frombuffer(counts, "<u2", some)] = n / max(1, n.sum())
+    return out
 
 
 def machine(x: np.ndarray, rows: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 12) -> tuple[np.ndarray, float, float]:
@@ -135,8 +143,8 @@ class LanguageModel:
         return names.tolist(), np.where(none, 0.0, share)
 
 
-def fit(some: list[tuple[str, str]], families: dict[str, tuple[str, ...]] = FAMILIES) -> LanguageModel:
-    """A model of (text, language) rows."""
+def fit(some: list[tuple[bytes, str]], families: dict[str, tuple[str, ...]] = FAMILIES) -> LanguageModel:
+    """A model of rows (counts of a text's n-grams, language)."""
     langs = sorted({lang for _, lang in some})
     of = {lang: family for family, members in families.items() for lang in members}
     groups: dict[str, list[str]] = {}
@@ -146,8 +154,8 @@ def fit(some: list[tuple[str, str]], families: dict[str, tuple[str, ...]] = FAMI
     if not found:
         return LanguageModel([[UNKNOWN]], np.zeros((DIM, 1), np.float32), np.zeros(1), np.ones(1))
     x = np.ones((len(some), DIM + 1), np.float32)
-    for i, (text, _) in enumerate(some):
-        x[i, :DIM] = features(text)
+    for i, (counts, _) in enumerate(some):
+        x[i, :DIM] = features(counts)
     y = np.array([lang for _, lang in some], object)
     scale = 1 / np.sqrt(x[:, :DIM].mean(axis=0) + 1e-6)
     x[:, :DIM] *= scale
@@ -201,8 +209,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def labelled(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
-    """At most `rows` rows (text, language), as many of each language as there are, up to an even share."""
+def labelled(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[bytes, str]]:
+    """At most `rows` rows (counts, language), as many of each language as there are, up to an even share.
+
+    What reaches the driver of a text are its counted n-grams: `DIM` numbers at most, however long it is.
+    """
+    arrow_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "lang", "text")
     open_ = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("spot"))
     counts = open_.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(rows)
     langs = counts.count()
@@ -213,8 +226,15 @@ def labelled(docs: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, str]]:
     near = open_.join(F.broadcast(counts), "lang").where(F.pmod("spot", F.lit(1 << 20)) * F.col("n") <= F.lit((1 << 20) * (3 * each + 30)))
     order = Window.partitionBy("lang").orderBy(F.pmod("spot", F.lit(1 << 20)), "spot", "doc_id")
     picked = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each).select(F.col("doc_id").alias("picked")).distinct()
-    found = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked"), "left_semi").where("lang is not null").select("text", "lang", "doc_id")
-    return [(r.text, r.lang) for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.lang, r.text))]
+    found = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked"), "left_semi").where("lang is not null and text is not null").select("text", "lang", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([pa.array([counted(t.as_py()) for t in b.column("text")], pa.binary()), b.column("lang"), b.column("doc_id")], ["counts", "lang", "doc_id"])
+
+    kind = found.schema["doc_id"].dataType.simpleString()
+    held = found.mapInArrow(tidied(run), f"counts binary, lang string, doc_id {kind}").collect()
+    return [(bytes(r.counts), r.lang) for r in sorted(held, key=lambda r: (r.doc_id, r.lang, bytes(r.counts)))]
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, families: dict[str, tuple[str, ...]] = FAMILIES) -> LanguageModel:

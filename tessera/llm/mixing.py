@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, stash
+from tessera.llm.common import WORD, stash, unused
 from tessera.llm.exact_dedup import bounded
 
 BLOCK_ROWS = 512
@@ -95,12 +95,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def emit(docs: DataFrame, **how) -> DataFrame:
     """The rows of the mix: each row of `docs` with all its columns as many times as it has copies.
 
-    Rows that repeat a doc_id each come as often as the first of them.
+    Rows are known by doc_id, and where one has rows of different sizes by doc_id and size; rows that repeat these each
+    come as often as the first of them.
     """
-    copies = stash(mix(docs, **how).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0"), "copies")
-    wanted = copies.select(F.col("doc_id").alias("__mix_id"), F.col("copies").alias("__mix_copies"))
-    joined = docs.join(bounded(wanted), F.col("doc_id").eqNullSafe(F.col("__mix_id")))
-    return joined.withColumn("__mix_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))).drop("__mix_id", "__mix_copies", "__mix_nth")
+    copies = stash(mix(docs, **how).groupBy("doc_id", "size").agg(F.max("copies").alias("copies")), "copies")
+    of_id, of_size, times, nth = (unused(docs, f"mix_{c}") for c in ("id", "size", "copies", "nth"))
+    wanted = copies.where("copies > 0").select(F.col("doc_id").alias(of_id), F.col("size").alias(of_size), F.col("copies").alias(times))
+    same = F.col("doc_id").eqNullSafe(F.col(of_id))
+    if not copies.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        same &= word_count(F.col("text")) == F.col(of_size)
+    joined = docs.join(bounded(wanted), same)
+    return joined.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(of_id, of_size, times, nth)
 
 
 #: The same mix in DuckDB, ranked by one sort.

@@ -56,7 +56,7 @@ def lengths(model: sentencepiece.SentencePieceProcessor, some: list[str]) -> lis
         for part in safe_parts(text) if len(text) > LONG_TEXT else [text]:
             batch.append(part)
             owners.append(i)
-            held += len(part)
+            held += len(part) if part.isascii() else len(part.encode("utf-8"))
             if held >= BATCH_BYTES:
                 flush()
                 held = 0

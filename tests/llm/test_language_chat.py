@@ -44,9 +44,9 @@ def test_labels_of_held_out_rows_are_not_used(spark):
 
 def test_a_text_scores_as_its_features():
     some = [(text(lang, 30), lang) for lang in ("en", "de", "fr") for _ in range(20)]
-    model = language.fit(some)
+    model = language.fit([(language.counted(t), lang) for t, lang in some])
     for t, _ in some[:5]:
-        whole = features = language.features(t + " 3x! é-e") @ model.weights
+        whole = features = language.features(language.counted(t + " 3x! é-e")) @ model.weights
         scorer = language.Scorer(model)
         scorer([t])
         h, _ = language.grams((t + " 3x! é-e").lower().split())
