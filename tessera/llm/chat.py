@@ -33,6 +33,10 @@ class Template:
     loss: frozenset[str] = frozenset({"assistant"})
     follows: dict[str, frozenset[str]] = field(default_factory=lambda: {"": frozenset({"system", "user"}), "system": frozenset({"user"}), "user": frozenset({"assistant"}), "assistant": frozenset({"user"})})
 
+    def __post_init__(self) -> None:
+        if not all(mark for pair in [*self.marks.values(), self.other] for mark in pair):
+            raise ValueError("an empty mark cannot be read back")
+
     def controls(self) -> list[str]:
         found = {"<s>", "[INST]", "[/INST]", "[ANSWER]", self.other[0].strip(), self.other[2].strip()} | {m.strip() for pair in self.marks.values() for m in pair}
         return sorted((c for c in found if len(c) > 1), key=lambda c: (-len(c), c))
@@ -45,13 +49,23 @@ class Template:
     def open_close(self, role: str) -> tuple[str, str]:
         return self.marks.get(role) or (self.other[0] + quote(role, safe="") + self.other[1], self.other[2])
 
-    def read(self, turn: str) -> tuple[str, str]:
-        """Role and text, still escaped, of a formatted turn."""
+    def read(self, text: str, since: int = 0) -> tuple[str, str, int] | None:
+        """Role and text, still escaped, of the turn at the start of `text`, and where it ends; None if its end isn't there yet.
+
+        Marks are all that is looked for: no text holds one, as control strings in it are escaped. since: how far `text`
+        is known to hold no end.
+        """
         for role, (begin, end) in self.marks.items():
-            if turn.startswith(begin) and turn.endswith(end):
-                return role, turn[len(begin) : len(turn) - len(end)]
-        role, _, rest = turn[len(self.other[0]) :].partition(self.other[1])
-        return unquote(role), rest[: len(rest) - len(self.other[2])]
+            if text.startswith(begin):
+                start = len(begin)
+                break
+        else:
+            head, _, rest = text.partition(self.other[1])
+            if not head.startswith(self.other[0]) or not rest:
+                return None
+            role, start, end = unquote(head[len(self.other[0]) :]), len(head) + len(self.other[1]), self.other[2]
+        at = text.find(end, max(start, since - len(end)))
+        return None if at < 0 else (role, text[start:at], at + len(end))
 
 
 TEMPLATE = Template()
@@ -90,39 +104,44 @@ def formatted(conversations: DataFrame, template: Template = TEMPLATE) -> DataFr
 
 
 def read_back(found: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid from segments() as they stand."""
-    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("valid", pa.bool_())])
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, unread_chars, valid from segments() as they stand.
+
+    Turns are parsed from the running text of the conversation by its marks alone; where a segment begins or ends is not
+    looked at, but for the loss mask, which is the flag. What is read is let go, so that one turn is held at a time.
+    unread_chars: what no mark ends, 0 for a text that segments() made.
+    """
+    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("unread_chars", pa.int64()), ("valid", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unescape = template.patterns()[1]
-        sha, now, held = hashlib.sha256, None, None
+        sha, now, held, running = hashlib.sha256, None, None, ""
 
         def row() -> dict:
             n, turns, chars, loss, size, valid = held
-            return {"conv_id": now, "n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": chars, "loss_sha256": loss.hexdigest(), "formatted_chars": size, "valid": valid}
+            return {"conv_id": now, "n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": chars, "loss_sha256": loss.hexdigest(), "formatted_chars": size, "unread_chars": len(running), "valid": valid}
 
-        turn = ""
         for b in batches:
             out = []
-            for conv, part, text, loss, valid in zip(*(b.column(c).to_pylist() for c in ("conv_id", "part", "text", "loss", "valid"))):
+            for conv, text, loss, valid in zip(*(b.column(c).to_pylist() for c in ("conv_id", "text", "loss", "valid"))):
                 if held is None or conv != now:
                     if held is not None:
                         out.append(row())
-                    now, held = conv, [0, sha(), 0, sha(), 0, True]
-                turn = turn + text if part else text
+                    now, held, running = conv, [0, sha(), 0, sha(), 0, True], ""
                 held[4] += len(text)
                 held[5] = valid
                 if loss:
                     plain = unescape.sub("", text)
                     held[2] += len(plain)
                     held[3].update(plain.encode("utf-8"))
-                if part == 2:
-                    role, content = template.read(turn)
+                since, running = len(running), running + text
+                while turn := template.read(running, since):
+                    role, content, end = turn
                     held[0] += 1
                     held[1].update(f"{role}\n{unescape.sub('', content)}\n".encode())
+                    since, running = 0, running[end:]
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
         if held is not None:
             yield pa.RecordBatch.from_pylist([row()], schema)
 
-    return found.mapInArrow(tidied(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+    return found.mapInArrow(tidied(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, unread_chars long, valid boolean")

@@ -83,6 +83,7 @@ def test_chat(talks):
         assert got[c].n_turns == len(turns)
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert all(r.unread_chars == 0 for r in got.values())
     assert got[500].valid and got[-7].valid and not got[99].valid
     sizes = {}
     for r in chat.formatted(table).collect():
@@ -90,6 +91,22 @@ def test_chat(talks):
     assert sizes == {c: r.formatted_chars for c, r in got.items()}
 
 
+def test_turns_are_read_by_their_marks(talks):
+    """Cut anywhere, the running text gives the same turns; marks that cannot be told apart from text do not."""
+    rows, table = talks
+    whole = chat.segments(table)
+    cut = whole.selectExpr("conv_id", "nth", "part", "explode(array(substring(text, 1, 3), substring(text, 4))) AS text", "loss", "valid").drop("nth", "part")
+    columns = ["conv_id", "n_turns", "turns_sha256", "formatted_chars", "unread_chars"]
+    # the flag marks halves of a text here, whose escapes may be cut, so only turns are compared
+    assert sorted(map(str, chat.read_back(cut).select(*columns).collect())) == sorted(map(str, chat.read_back(whole).select(*columns).collect()))
+    with pytest.raises(ValueError):
+        chat.Template(marks={"user": ("", "")})
+    poor = chat.Template(marks={"user": ("|", "\n"), "assistant": ("|", "\n")})
+    got = chat.read_back(chat.segments(table.where("conv_id = 500"), poor), poor).first()
+    assert got.n_turns != 5000 or got.turns_sha256 != chat.read_back(whole).where("conv_id = 500").first().turns_sha256
+    assert chat.TEMPLATE.read("<s>[INST] no end") is None and chat.TEMPLATE.read("[ROLE:x") is None
+
+
 def test_no_text_holds_a_control_string(talks):
     _, table = talks
     controls = chat.TEMPLATE.controls()
