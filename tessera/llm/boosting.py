@@ -48,10 +48,8 @@ def pooled(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[0] for p in pools]), np.array([(p[1] + 0.5) / (p[2] + 1.0) for p in pools])
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0) -> Trees:
-    """Trees for rows `x` and answers `y` (0 or 1); every fourth row is kept for the calibration."""
-    apart = np.arange(len(x)) % 4 == 3
-    held_x, held_y, x, y = x[apart], y[apart], x[~apart], y[~apart]
+def fit(x: np.ndarray, y: np.ndarray, held_x: np.ndarray, held_y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0) -> Trees:
+    """Trees for rows `x` and answers `y` (0 or 1), their scores calibrated on other rows, `held_x` and `held_y`."""
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1)
     base = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
