@@ -31,6 +31,9 @@ LEGAL_FORMS = (
 #: Address words that tell nothing about a place.
 SKIPPED = ("street", "road", "drive", "avenue", "lane", "boulevard", "court", "pobox", "unit", "apt", "suite", "floor", "near", "opp", "opposite")
 
+#: What is left of web addresses.
+WEB = ((r"(?U)\bwww\b", " "), (r"(?U)\.(com|co|in|org|net|io|edu|gov)\b", " "))
+
 LEGAL_END = rf"(?U)\b({'|'.join(LEGAL_FORMS)})$"
 LEGAL_START = rf"(?U)^({'|'.join(LEGAL_FORMS)})\b"
 
@@ -42,7 +45,7 @@ FEATURES = (
 
 def general(text: Column) -> Column:
     """Folded, in lower case, without web parts and punctuation, symbols spelled out."""
-    text = replaced(F.lower(strip_marks(text)), ((r"(?U)\bwww\b", " "), (r"(?U)\.(com|co|in|org|net|io|edu|gov)\b", " "), *SYMBOLS))
+    text = replaced(F.lower(strip_marks(text)), (*WEB, *SYMBOLS))
     return squeezed(F.regexp_replace(text, r"(?U)[^\w\s\x{900}-\x{d7f}]", " "))
 
 
@@ -80,7 +83,10 @@ def normalise(entities: DataFrame) -> DataFrame:
 
 
 def blocking_keys(normal: DataFrame) -> DataFrame:
-    """entity_id, country_key, key: one row for each key that a record gives, repeats included."""
+    """entity_id, country_key, key: one row for each key that a record gives, repeats included.
+
+    Fixed values: the marks of the kinds (cn, sn, np, 2t, nh, an), the least lengths, and `UNKNOWN`.
+    """
     core, nums, pc = F.col("core_name"), F.slice("numeric_tokens", 1, 2), F.col("postcode")
     words = F.filter(tokens(core), lambda w: (F.length(w) >= 3) & ~w.isin("the", "and"))
     place = F.filter(tokens(F.col("clean_address")), lambda w: (F.length(w) >= 4) & ~w.rlike(r"(?U)^\d+$") & ~w.isin(*SKIPPED))

@@ -131,8 +131,7 @@ def _(spark, sf_dir):
 @query("id_list_sorted", "SELECT entity_id AS value, row_number() OVER (ORDER BY entity_id) AS place FROM entities WHERE source = 1")
 def _(spark, sf_dir):
     ids = stand_in.entities(spark, sf_dir).where("source = 1").select(F.col("entity_id").alias("value"))
-    order = F.array_sort(F.collect_list("value"))
-    return ids.agg(order.alias("all")).select(F.posexplode("all").alias("place", "value")).select("value", (F.col("place") + 1).alias("place"))
+    return tables.numbered(ids, "value", column="place")
 
 
 @query("union_of_sources", "SELECT source, count(*) AS n FROM (SELECT source FROM entities WHERE source = 2 UNION ALL SELECT source FROM entities WHERE source = 3) GROUP BY 1")
@@ -400,17 +399,28 @@ def parts_of(spark, sf_dir) -> DataFrame:
     return split.split(truth_counts(spark, sf_dir).join(countries, "s1_id"))
 
 
-@query("check_split", findings(*(finding(c, "SELECT '' AS x WHERE false", "x") for c in ("in_both_parts", "in_no_part", "duplicate_key", "wrong_prefix"))))
+#: What is planted, by the first hex digit of a record's MD5: in both parts, in none, twice in one, with another prefix.
+FIRST = "substr(md5(s1_id), 1, 1)"
+ONE_IN = lambda digit: f"SELECT s1_id FROM truth_counts WHERE {FIRST} = '{digit}'"
+
+
+@query("check_split", findings(finding("in_both_parts", ONE_IN("0"), "s1_id"), finding("in_no_part", f"SELECT s1_id FROM truth_counts WHERE {FIRST} IN ('1', '3')", "s1_id"), finding("duplicate_key", f"SELECT s1_id FROM truth_counts WHERE {FIRST} IN ('0', '2')", "s1_id"), finding("wrong_prefix", f"SELECT 'Z' || s1_id AS s1_id FROM truth_counts WHERE {FIRST} = '3'", "s1_id")))
 def _(spark, sf_dir):
-    parts = parts_of(spark, sf_dir).withColumn("entity_id", F.col("s1_id"))
+    """The split with faults planted in the records whose MD5 begins with 0 to 3; all such records are in `train`, and those of 0 in `val` too."""
+    parts = parts_of(spark, sf_dir).select("s1_id", "part").withColumn("digit", F.expr(FIRST)).withColumn("entity_id", F.when(F.col("digit") == "3", F.concat(F.lit("Z"), "s1_id")).otherwise(F.col("s1_id")))
+    planted = F.col("digit").isin("0", "2", "3")
+    train, val = parts.where((F.col("part") == "train") | planted).where("digit <> '1'"), parts.where((F.col("part") == "val") & ~planted | (F.col("digit") == "0")).where("digit <> '1'")
     every = stand_in.entities(spark, sf_dir).where("source = 1").select("entity_id")
-    return checks(validate.check_split(parts.where("part = 'train'"), parts.where("part = 'val'"), every))
+    return checks(validate.check_split(train.unionByName(train.where("digit = '2'")), val, every))
 
 
-@query("check_merge", findings(finding("row_count_changed", "SELECT '' AS x WHERE false", "x"), finding("missing_country", "SELECT '' AS x WHERE false", "x")))
+@query("check_merge", findings(finding("row_count_changed", "SELECT source1_entity_id FROM truth WHERE substr(md5(source1_entity_id), 1, 1) = '0'", "''"), finding("missing_country", "SELECT source1_entity_id FROM truth WHERE substr(md5(source1_entity_id), 1, 1) = '1'", "source1_entity_id")))
 def _(spark, sf_dir):
+    """Countries with some records twice and some missing."""
     wide = truth(spark, sf_dir)
     countries = stand_in.entities(spark, sf_dir).where("source = 1").select(F.col("entity_id").alias("source1_entity_id"), "country")
+    digit = F.substring(F.md5("source1_entity_id"), 1, 1)
+    countries = countries.where(digit != "1").unionByName(countries.where(digit == "0"))
     return checks(validate.check_merge(wide, wide.join(countries, "source1_entity_id", "left")))
 
 
@@ -446,8 +456,7 @@ SELECT nth, source1_entity_id, value FROM (
 def result_lines(spark, sf_dir) -> DataFrame:
     """A results file with planted faults, as numbered lines."""
     made = spark.sql(LINES, truth=truth(spark, sf_dir))
-    whole = made.agg(F.array_sort(F.collect_list(F.struct("nth", "source1_entity_id", "value"))).alias("all"))
-    return whole.select(F.posexplode("all").alias("line", "row")).select((F.col("line") + 1).alias("line"), "row.value")
+    return tables.numbered(made, "nth", "source1_entity_id", "value", column="line").select("line", "value")
 
 
 @query(
@@ -562,6 +571,7 @@ def _(spark, sf_dir):
 
 @query("split_match_statistics")
 def _(spark, sf_dir):
+    """No SQL: which records are in `val` goes by Spark's hash of the identifier."""
     return split.match_statistics(parts_of(spark, sf_dir))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,6 +46,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return last.where("value <> ''")
 
 
+def numbered(df: DataFrame, *keys: str, column: str = "place") -> DataFrame:
+    """`df` with `column`, each row's place from 1 in the order of `keys`: sorted by ranges, ranked within each, and moved by the rows before it.
+
+    One number for each range is all that is gathered; no task sees more than a range.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *keys).withColumns({"__part": F.spark_partition_id()})
+    firsts = dealt.groupBy("__part").agg(F.min(F.struct(*keys)).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__part", "__before")
+    inside = Window.partitionBy("__part").orderBy(*keys)
+    ranked = dealt.withColumn(column, F.row_number().over(inside)).join(F.broadcast(firsts), "__part")
+    return ranked.withColumn(column, F.col(column) + F.col("__before")).drop("__part", "__before")
+
+
 def limited(df: DataFrame, n: int, key: str = "entity_id") -> DataFrame:
     """The first `n` rows by key; files alone have no order."""
     return df.orderBy(key).limit(n)
