@@ -12,9 +12,9 @@ def components(links: DataFrame) -> DataFrame:
     """id, component (the least id reachable) of every id in `links` (a, b).
 
     Each round takes the least label among neighbours and then the label of that label, until none changes. Counts are
-    all that reaches the driver.
+    all that reaches the driver. Links may repeat: they meet in aggregates only.
     """
-    both = stash(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    both = stash(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = stash(both.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("component")), "labels")
     while True:
         seen = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))

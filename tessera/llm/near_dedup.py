@@ -37,7 +37,7 @@ from pyspark.sql.types import IntegralType
 
 from tessera.llm.common import arrow_batches, stash, texts, tidied, unused
 from tessera.llm.components import components
-from tessera.llm.exact_dedup import bounded, own_digest, spread
+from tessera.llm.exact_dedup import BROADCAST_ROWS, bounded, own_digest, spread
 from tessera.llm.shingles import ODD, mixed, shingle_set
 
 REGISTERS = 128
@@ -139,18 +139,30 @@ def sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
 
 
 def unlike(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """digest: the classes of `members` (doc_id, digest) whose sets, compared whole, are not one and the same."""
-    several = stash(members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "several")
-    members = stash(members.join(bounded(several), "digest", "left_semi").select(F.col("doc_id").alias("named"), "digest"), "alike")
-    held = sets_of(docs, members.select("named").distinct(), k)
+    """digest: the classes of `members` (doc_id, digest; each pair once) whose sets, compared whole, are not one and the same."""
+    arrow_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), k).tobytes() for t in b.column("text")]
+            yield pa.record_batch([b.column("digest"), pa.array(sets, pa.binary())], ["digest", "held"])
+
+    of = bounded(members.select(F.col("doc_id").alias("named"), "digest"))
+    held = texts(docs).join(of, F.col("doc_id") == F.col("named")).select("digest", "text").mapInArrow(tidied(run), "digest binary, held binary")
     # equal sets of a class are made one before the shuffle, so a class with a third of all rows costs each task one set
-    return members.join(held, F.col("named") == F.col("doc_id")).select("digest", "held").distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    return held.distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """named: the documents of `pairs` for a semi-join; each once, unless they are so few that they are broadcast."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("named"))
+    return named if 2 * pairs.limit(BROADCAST_ROWS).count() <= BROADCAST_ROWS else stash(named.distinct(), "named")
 
 
 def compared(pairs: DataFrame, docs: DataFrame, k: int, differences: bool = False) -> DataFrame:
     """a, b, n_a, n_b, shared of pairs (a, b) on their full sets; differences: also the hashes that only one of them has."""
     arrow_batches(docs.sparkSession)
-    named = stash(pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct(), "named")
+    named = ends(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -192,7 +204,7 @@ def led(crowded: DataFrame, firsts: DataFrame, docs: DataFrame, k: int, percent:
         best = stash(best.where(F.col("n") > (1 if not turn else SMALL)).select("key", (-F.col("best.minus")).alias("a")), "best")
         star = stash(left.join(best, "key").where("id <> a").select("key", "a", F.col("id").alias("b"), "score"), "star")
         pairs = star.select("a", "b").distinct()
-        pairs = stash(plausible(pairs, firsts, percent / 100), "again") if turn else pairs
+        pairs = stash(plausible(pairs, firsts, percent / 100) if turn else pairs, "starred")
         found = stash(compared(pairs, docs, k, not turn).withColumn("linked", linked(percent)), "led")
         first = found if first is None else first
         links.append(found.where("linked").select("a", "b"))
@@ -259,11 +271,12 @@ def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = 5 if percent >= 85 else 4
     sets = stash(sketches(docs, k), "sketches")
     some = sets.where("digest is not null and doc_id is not null")
-    apart = stash(unlike(docs, some.select("doc_id", "digest").distinct(), k), "unlike")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"))
+    classes = stash(some.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
+    several = bounded(classes.where("size > 1").select("digest"))
+    alike = stash(some.join(several, "digest", "left_semi").select("doc_id", "digest").distinct(), "alike")
+    apart = stash(unlike(docs, alike, k), "unlike")
     if not apart.isEmpty():
-        classes = classes.join(apart, "digest", "left_anti")
-    classes = stash(classes, "classes")
+        classes = stash(classes.join(apart, "digest", "left_anti"), "classes")
     lone = sets.join(bounded(classes.where("size > 1").select("digest")), "digest", "left_anti").withColumn("first", F.col("doc_id"))
     member = spread(sets, classes.where("size > 1"), "digest", "size").select(*lone.columns)
     mine = F.when(F.col("digest").isNotNull() & (F.col("doc_id") == F.col("first")), F.col("sketch"))
