@@ -16,6 +16,10 @@ def between(low: float, high: float, points: int) -> tuple[float, ...]:
     return tuple(low + (high - low) * i / (points - 1) for i in range(points))
 
 
+#: Thresholds of the analysis.
+ANALYSIS = between(0.05, 0.95, 90)
+
+
 def f05(n_hit: Column, n_true: Column, n_pred: Column) -> Column:
     """F0.5 of one record: right in staying empty is 1, any prediction for a singleton is 0."""
     return F.when((n_true == 0) & (n_pred == 0), 1.0).when(n_hit == 0, 0.0).otherwise(1.25 * n_hit / (0.25 * n_true + n_pred))

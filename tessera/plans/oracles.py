@@ -5,7 +5,7 @@ RE2 knows ASCII classes only, so patterns spell classes out; after folding, the
 
 from __future__ import annotations
 
-from tessera.operators import profile_a, profile_b
+from tessera.operators import decision, profile_a, profile_b
 from tessera.plans import entities
 
 
@@ -148,6 +148,9 @@ part("same_b", "SELECT s1_id, tgt_id, s.country_norm = t.country_norm AND s.coun
 
 part("scored", "SELECT s1_id, tgt_id, pre_score AS proba FROM cand_a")
 part("levels", "SELECT unnest([0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85]::DOUBLE[]) AS threshold")
+LEVELS = {"fine": decision.FINE, "weights": decision.WEIGHTS_SWEEP, "analysis": decision.ANALYSIS, "b": decision.between(0.01, 0.99, 100)}
+for _name, _values in LEVELS.items():
+    part(f"levels_{_name}", f"SELECT unnest([{', '.join(f'{t!r}e0' for t in _values)}]) AS threshold")
 
 
 def records(threshold: str, source: str) -> str:
@@ -158,6 +161,8 @@ def records(threshold: str, source: str) -> str:
 F05 = "CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN n_hit = 0 THEN 0.0 ELSE 1.25::DOUBLE * n_hit / (0.25::DOUBLE * n_true + n_pred) END"
 part("at_60", f"SELECT *, ({F05})::DOUBLE AS f05 FROM ({records('0.6', 'truth_counts c')})")
 part("at_all", f"SELECT *, ({F05})::DOUBLE AS f05 FROM ({records('v.threshold', 'truth_counts c CROSS JOIN levels v')})")
+for _name in LEVELS:
+    part(f"at_{_name}", f"SELECT *, ({F05})::DOUBLE AS f05 FROM ({records('v.threshold', f'truth_counts c CROSS JOIN levels_{_name} v')})")
 part(
     "stratum_rows",
     """SELECT s1_id, country, n_true, CASE WHEN n_true = 0 THEN 'singleton' WHEN n_true <= 2 THEN 'low' WHEN n_true <= 4 THEN 'medium' ELSE 'high' END AS match_bucket
@@ -165,6 +170,11 @@ part(
 )
 part("stratum_sizes", "SELECT country || '_' || match_bucket AS stratum, count(*) AS size, min(count(*)) OVER () AS least FROM stratum_rows GROUP BY 1")
 part("strata", "SELECT r.*, CASE WHEN least < 2 AND size < 5 THEN country || '_rare' ELSE z.stratum END AS stratum FROM stratum_rows r JOIN stratum_sizes z ON z.stratum = r.country || '_' || r.match_bucket")
+part(
+    "split_rows",
+    """SELECT *, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || s1_id), s1_id) <= round(count(*) OVER (PARTITION BY stratum) * 0.2) THEN 'val' ELSE 'train' END AS part
+       FROM strata""",
+)
 part(
     "result_lines",
     """SELECT row_number() OVER (ORDER BY nth, source1_entity_id) AS line, value FROM (

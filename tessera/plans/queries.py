@@ -569,10 +569,14 @@ def _(spark, sf_dir):
     return rounded(split.balance(parts_of(spark, sf_dir), "stratum"))
 
 
-@query("split_match_statistics")
+@query("split_parts", "SELECT s1_id, stratum, part FROM split_rows")
 def _(spark, sf_dir):
-    """No SQL: which records are in `val` goes by Spark's hash of the identifier."""
-    return split.match_statistics(parts_of(spark, sf_dir))
+    return parts_of(spark, sf_dir).select("s1_id", "stratum", "part")
+
+
+@query("split_match_statistics", "SELECT part, round(avg(n_true), 6) AS mean, quantile_cont(n_true, 0.5) AS median, max(n_true)::INT AS most FROM split_rows GROUP BY 1")
+def _(spark, sf_dir):
+    return rounded(split.match_statistics(parts_of(spark, sf_dir)))
 
 
 @query(
@@ -608,20 +612,42 @@ def swept(spark, sf_dir, thresholds=decision.COARSE) -> DataFrame:
     return decision.by_threshold(truth_counts(spark, sf_dir), links(spark, sf_dir), scored(spark, sf_dir), thresholds)
 
 
-@query("threshold_sweep", "SELECT threshold, round(avg(f05), 6) AS macro_f05, round(100.0::DOUBLE * count_if(n_pred = 0) / count(*), 6) AS singleton_pct, sum(n_pred)::BIGINT AS n_matches FROM at_all GROUP BY 1")
+SWEPT = "SELECT round(threshold, 6) AS threshold, round(avg(f05), 6) AS macro_f05, round(100.0::DOUBLE * count_if(n_pred = 0) / count(*), 6) AS singleton_pct, sum(n_pred)::BIGINT AS n_matches FROM {rows} GROUP BY 1"
+ANALYSED = """SELECT round(threshold, 3) AS threshold, round(avg(f05), 4) AS total_f05, round(coalesce(avg((n_pred = 0)::INT::DOUBLE) FILTER (n_true = 0), 0), 4) AS singleton_acc,
+       round(coalesce(avg(f05) FILTER (n_true > 0), 0), 4) AS non_singleton_f05, sum(n_pred)::BIGINT AS total_predicted, sum(n_pred - n_hit)::BIGINT AS fp_count FROM {rows} GROUP BY 1"""
+
+
+@query("threshold_sweep", SWEPT.format(rows="at_all"))
 def _(spark, sf_dir):
     return rounded(decision.sweep(swept(spark, sf_dir)))
 
 
-@query(
-    "threshold_analysis",
-    """SELECT round(threshold, 3) AS threshold, round(avg(f05), 4) AS total_f05, round(coalesce(avg((n_pred = 0)::INT::DOUBLE) FILTER (n_true = 0), 0), 4) AS singleton_acc,
-       round(coalesce(avg(f05) FILTER (n_true > 0), 0), 4) AS non_singleton_f05, sum(n_pred)::BIGINT AS total_predicted, sum(n_pred - n_hit)::BIGINT AS fp_count FROM at_all GROUP BY 1""",
-)
+@query("threshold_sweep_fine", SWEPT.format(rows="at_fine"))
+def _(spark, sf_dir):
+    return rounded(decision.sweep(swept(spark, sf_dir, decision.FINE)))
+
+
+@query("threshold_sweep_weights", SWEPT.format(rows="at_weights"))
+def _(spark, sf_dir):
+    return rounded(decision.sweep(swept(spark, sf_dir, decision.WEIGHTS_SWEEP)))
+
+
+@query("threshold_sweep_b", SWEPT.format(rows="at_b"))
+def _(spark, sf_dir):
+    """The thresholds of profile B, on the pre-scores of profile A."""
+    return rounded(decision.sweep(swept(spark, sf_dir, decision.between(0.01, 0.99, 100))))
+
+
+@query("threshold_analysis", ANALYSED.format(rows="at_all"))
 def _(spark, sf_dir):
     return decision.analysis(swept(spark, sf_dir))
 
 
+@query("threshold_analysis_fine", ANALYSED.format(rows="at_analysis"))
+def _(spark, sf_dir):
+    return decision.analysis(swept(spark, sf_dir, decision.ANALYSIS))
+
+
 @query("best_threshold", "SELECT threshold, round(score, 6) AS macro_f05 FROM (SELECT threshold, avg(f05) AS score FROM at_all GROUP BY 1) ORDER BY round(score, 12) DESC, threshold LIMIT 1")
 def _(spark, sf_dir):
     return rounded(decision.sweep(swept(spark, sf_dir)).orderBy(F.desc(F.round("macro_f05", 12)), "threshold").limit(1).select("threshold", "macro_f05"))

@@ -40,10 +40,18 @@ def first_column_ids(lines: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line (from 1), value: the lines of one text file; its header and line numbers need its order, so it is one partition."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    last = whole.withColumn("line", F.col("line") + 1).withColumn("value", F.regexp_replace("value", "\r$", ""))
-    return last.where("value <> ''")
+    """line (from 1), value: the lines of one text file but its empty ones, which are counted all the same.
+
+    Lines are numbered within the blocks that the file is read in, and moved by the lines of the blocks before.
+    """
+    block = F.col("_metadata.file_block_start").alias("block")
+    lines = spark.read.text(path, lineSep="\n").select("value", block, F.monotonically_increasing_id().alias("nth"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("block").orderBy("nth")
+    ranked = lines.withColumn("nth", F.row_number().over(inside)).join(F.broadcast(counts), "block")
+    return ranked.select((F.col("nth") + F.col("before")).alias("line"), F.regexp_replace("value", "\r$", "").alias("value")).where("value <> ''")
 
 
 def numbered(df: DataFrame, *keys: str, column: str = "place") -> DataFrame:
