@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import stash, texts, unused
 
-#: So many digests at most are broadcast (some 60 bytes each); more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: So many digests at most are broadcast (some 60 bytes each, and as much again while the driver builds the table, of
+#: several tables at once); more are joined by a shuffle.
+BROADCAST_ROWS = 50_000
 #: Bits of a filter for each digest of its run, and blocks of 4 KB that are broadcast at most.
 FILTER_BITS, BROADCAST_BLOCKS = 16, 2_000
+#: Bits of a filter for each of many names, and blocks of 4 KB at most: with more names it lets more rows through, it is never left out.
+NAMED_BITS, NAMED_BLOCKS = 32, 4_096
 BATCHES = 2
 
 
@@ -40,6 +43,32 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def matched(rows: DataFrame, named: DataFrame, how: str, /, safe: bool = False, **on: Column) -> DataFrame:
+    """`rows` joined (inner, left_semi or left_anti) to `named`, by columns of it (`on`: their names, and what they equal in `rows`).
+
+    Few names are broadcast. Of many a bitmap of hashes is, and only the rows that it lets through are shuffled: where
+    rows hold whole texts, their shuffle would take as much disk as the table. safe: nulls are equal to each other.
+    """
+    same = reduce(Column.__and__, ((c.eqNullSafe(F.col(x)) if safe else c == F.col(x)) for x, c in on.items()))
+    if named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(named), same, how)
+    named = stash(named if how == "inner" else named.select(*on).distinct(), "names")
+    slots = min(NAMED_BITS * named.count(), NAMED_BLOCKS << 15)
+    block, bit, of, bits, there = (unused(rows, c) for c in ("name_block", "name_bit", "name_of", "name_bits", "name_there"))
+    slot = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(slots))
+    marks = named.select(F.bitmap_bucket_number(slot(on)).alias(of), F.bitmap_bit_position(slot(on)).alias(bit))
+    marks = F.broadcast(stash(marks.groupBy(of).agg(F.bitmap_construct_agg(bit).alias(bits)), "name-bits"))
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col(bit) % 8).cast("int")) == 1, F.lit(False))
+    at = rows.withColumns({block: F.bitmap_bucket_number(slot(on.values())), bit: F.bitmap_bit_position(slot(on.values()))})
+    at = at.join(marks, F.col(block) == F.col(of), "left" if how == "left_anti" else "inner")
+    passed, rest = (at.where(x).select(*rows.columns) for x in (hit, ~hit))
+    # the optimizer would move a semi or anti join below that with the bitmap, so that all rows were shuffled after all
+    if how == "left_anti":
+        return passed.join(named.withColumn(there, F.lit(True)), same, "left").where(F.col(there).isNull()).select(*rows.columns).unionByName(rest)
+    return passed.join(named, same) if how == "inner" else passed.join(named, same).select(*rows.columns)
+
+
 def spread(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
     """`rows` joined to `table`, which has one row for each `key`, with the number (`size`) of rows that have it.
 
@@ -109,7 +138,7 @@ class DigestIndex:
 def verified(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """digest, text, least, most, n of every hit, with the text compared as bytes."""
     held = texts(docs).withColumn("digest", digest())
-    return held.join(bounded(hits), "digest", "left_semi").groupBy("digest", "text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
+    return matched(held, hits.select(F.col("digest").alias("hit")), "left_semi", hit=F.col("digest")).groupBy("digest", "text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
 
 
 def exact_classes(docs: DataFrame, keep: str = "smallest") -> DataFrame:
@@ -146,11 +175,10 @@ def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     found = stash(exact_classes(docs, keep).where("group_size > 1").select("doc_id", "kept", "digest"), "kept")
     of_id, of_digest = unused(docs, "found_id"), unused(docs, "found_digest")
     named = lambda rows: rows.select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest))
-    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (own_digest() == F.col(of_digest))
-    left = docs.join(bounded(named(found.where(~F.col("kept"))).distinct()), same, "left_anti")
+    on = {of_id: F.col("doc_id"), of_digest: own_digest()}
+    left = matched(docs, named(found.where(~F.col("kept"))).distinct(), "left_anti", safe=True, **on)
     again = stash(named(found.where("kept").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1")), "again")
     if again.isEmpty():
         return left
-    twice = bounded(again)
-    once = left.join(twice, same, "left_semi").withColumn(of_digest, own_digest()).dropDuplicates(["doc_id", of_digest]).drop(of_digest)
-    return left.join(twice, same, "left_anti").unionByName(once)
+    once = matched(left, again, "left_semi", safe=True, **on).withColumn(of_digest, own_digest()).dropDuplicates(["doc_id", of_digest]).drop(of_digest)
+    return matched(left, again, "left_anti", safe=True, **on).unionByName(once)

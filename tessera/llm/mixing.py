@@ -24,6 +24,8 @@ BLOCK_ROWS = 512
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
+#: So many identifiers of the mix at most are broadcast.
+EMIT_ROWS = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -104,7 +106,7 @@ def emit(docs: DataFrame, **how) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col(of_id))
     if not copies.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         same &= word_count(F.col("text")) == F.col(of_size)
-    joined = docs.join(bounded(wanted), same)
+    joined = docs.join(bounded(wanted, EMIT_ROWS), same)
     return joined.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(of_id, of_size, times, nth)
 
 

@@ -37,7 +37,7 @@ from pyspark.sql.types import IntegralType
 
 from tessera.llm.common import arrow_batches, stash, texts, tidied, unused
 from tessera.llm.components import components
-from tessera.llm.exact_dedup import BROADCAST_ROWS, bounded, own_digest, spread
+from tessera.llm.exact_dedup import BROADCAST_ROWS, bounded, matched, own_digest, spread
 from tessera.llm.shingles import ODD, mixed, shingle_set
 
 REGISTERS = 128
@@ -46,7 +46,7 @@ EMPTY = 0xFFFF
 SMALL = 16
 ROUNDS = 2
 SLACK = 0.2
-#: Documents that differ from one leader in the same shingle and are counted by a window; beyond, the shingle comes last.
+#: Shingles by which more documents than this differ from one leader come last, told apart no further.
 HOT_ELEMENT = 100_000
 
 
@@ -135,7 +135,7 @@ def sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
             sets = [shingle_set(t.as_py(), k).tobytes() for t in b.column("text")]
             yield pa.record_batch([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "held"])
 
-    return texts(docs).join(bounded(named), F.col("doc_id") == F.col("named"), "left_semi").mapInArrow(tidied(run), "doc_id long, held binary")
+    return matched(texts(docs), named, "left_semi", named=F.col("doc_id")).mapInArrow(tidied(run), "doc_id long, held binary")
 
 
 def unlike(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
@@ -147,8 +147,8 @@ def unlike(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
             sets = [shingle_set(t.as_py(), k).tobytes() for t in b.column("text")]
             yield pa.record_batch([b.column("digest"), pa.array(sets, pa.binary())], ["digest", "held"])
 
-    of = bounded(members.select(F.col("doc_id").alias("named"), "digest"))
-    held = texts(docs).join(of, F.col("doc_id") == F.col("named")).select("digest", "text").mapInArrow(tidied(run), "digest binary, held binary")
+    of = members.select(F.col("doc_id").alias("named"), "digest")
+    held = matched(texts(docs), of, "inner", named=F.col("doc_id")).select("digest", "text").mapInArrow(tidied(run), "digest binary, held binary")
     # equal sets of a class are made one before the shuffle, so a class with a third of all rows costs each task one set
     return held.distinct().groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
 
@@ -234,16 +234,14 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     narrow = stash(narrow.drop("linked").join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi"), "open")
     pairs = first.join(narrow, ["a", "b"]).withColumns({"width": F.size("rest") - need + 1, "w": w, "allowed": (100 - percent) * c}).where("width > 0")
     sized = stash(pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element")), "elements")
-    # in order: first what can find nothing (one document's own, or shared by linked ones or one component only), then the rarest
-    own, alike = Window.partitionBy("a", "b"), Window.partitionBy("a", "element")
-    finds = (F.min("component").over(alike) < F.max("component").over(alike)) & ~F.min("linked").over(alike)
-    hot = stash(sized.groupBy("a", "element").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ELEMENT).select("a", "element"), "hot-elements")
-    if hot.isEmpty():
-        counted = sized.withColumns({"times": F.count(F.lit(1)).over(alike), "finds": finds})
-    else:  # a window never takes more than HOT_ELEMENT rows; more frequent elements come last, uncounted
-        some = sized.join(hot, ["a", "element"], "left_anti").withColumns({"times": F.count(F.lit(1)).over(alike), "finds": finds})
-        counted = some.unionByName(sized.join(hot, ["a", "element"], "left_semi").withColumns({"times": F.lit(HOT_ELEMENT + 1).cast("long"), "finds": F.lit(True)}))
-    prefix = counted.withColumn("place", F.row_number().over(own.orderBy("finds", "times", "element"))).where("place <= width and finds")
+    # in order: first what can find nothing (one document's own, or shared by linked ones or one component only), then the rarest.
+    # Counted in an aggregate of narrow rows; only elements that can find something are shuffled whole, as most are one document's own
+    counts = sized.groupBy(F.col("a").alias("of_a"), F.col("element").alias("of_element")).agg(F.least(F.count(F.lit(1)), F.lit(HOT_ELEMENT + 1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("linked").alias("all_linked"))
+    finds = stash(counts.where("low < high and not all_linked").select("of_a", "of_element", "times"), "finds")
+    own = Window.partitionBy("a", "b")
+    found = matched(sized, finds, "inner", of_a=F.col("a"), of_element=F.col("element"))
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "element"))
+    prefix = found.withColumn("place", place).where("place <= width")
     prefix = stash(prefix.select("a", "element", "b", "linked", "component", "w", "allowed", (F.col("size") - F.col("place") + 1).alias("ahead")), "prefixes")
     loose = prefix.where("not linked").select("a", "element", F.col("b").alias("i"), F.col("component").alias("component_i"), F.col("w").alias("w_i"), F.col("ahead").alias("ahead_i"))
     enough = (100 + percent) * F.least("ahead", "ahead_i") >= F.col("w") + F.col("w_i") - F.col("allowed")
@@ -277,7 +275,8 @@ def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     apart = stash(unlike(docs, alike, k), "unlike")
     if not apart.isEmpty():
         classes = stash(classes.join(apart, "digest", "left_anti"), "classes")
-    lone = sets.join(bounded(classes.where("size > 1").select("digest")), "digest", "left_anti").withColumn("first", F.col("doc_id"))
+    lone = matched(sets, classes.where("size > 1").select(F.col("digest").alias("of")), "left_anti", of=F.col("digest"))
+    lone = lone.select("digest", *(c for c in sets.columns if c != "digest")).withColumn("first", F.col("doc_id"))
     member = spread(sets, classes.where("size > 1"), "digest", "size").select(*lone.columns)
     mine = F.when(F.col("digest").isNotNull() & (F.col("doc_id") == F.col("first")), F.col("sketch"))
     members = stash(lone.unionByName(member).select("doc_id", "n_shingles", "first", mine.alias("sketch")), "members")
@@ -325,11 +324,11 @@ def drop_near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     that repeat both stay or go together. Empty and null texts stay, and so does an empty table.
     """
     gone_id, of_id, of_digest, number = (unused(docs, c) for c in ("gone_id", "of_id", "of_digest", "number"))
-    lost = lambda rows: bounded(stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "lost"))
+    lost = lambda rows: stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "lost")
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
-        return docs.join(lost(docs.select("doc_id", "text")), F.col("doc_id") == F.col(gone_id), "left_anti")
+        return matched(docs, lost(docs.select("doc_id", "text")), "left_anti", **{gone_id: F.col("doc_id")})
     of = numbered(docs).select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest), F.col("number").alias(number))
     held = docs.join(of, F.col("doc_id").eqNullSafe(F.col(of_id)) & (own_digest() == F.col(of_digest))).drop(of_id, of_digest)
     held = stash(held, "held")
     gone = lost(held.select(F.col(number).alias("doc_id"), "text"))
-    return held.join(gone, F.col(number) == F.col(gone_id), "left_anti").drop(number)
+    return matched(held, gone, "left_anti", **{gone_id: F.col(number)}).drop(number)

@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tessera.llm import exact_dedup, language, mixing, winnowing
+from tessera.llm import exact_dedup, language, mixing, near_dedup, winnowing
+from tessera.llm.common import stash
 
 ROWS = [
     (1, "one two three four five six seven eight nine ten eleven twelve", "a"),
@@ -219,3 +221,38 @@ def test_mix(docs, spark):
     many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.expr("if(id % 3 = 0, 'x', concat('y', id % 5))").alias("source"), F.expr("repeat('w ', cast(1 + id % 50 as int))").alias("text"))
     for key, target, taken in mixing.mix(many).groupBy("source_size").agg(F.first("target"), F.sum("taken")).collect():
         assert abs(target - taken) < 0.02 * target + 60
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_matched_is_the_join_for_many_names_too(spark, monkeypatch, few):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", few)
+    rows = spark.createDataFrame([(i % 90 if i % 13 else None, f"t{i}") for i in range(300)], "id long, text string")
+    names = spark.createDataFrame([(i,) for i in range(0, 120, 4)] + [(None,)], "of long")
+    for how in ("inner", "left_semi", "left_anti"):
+        for safe in (False, True):
+            same = F.col("id").eqNullSafe(F.col("of")) if safe else F.col("id") == F.col("of")
+            want = sorted(map(str, rows.join(names, same, how).collect()))
+            assert sorted(map(str, exact_dedup.matched(rows, names, how, safe=safe, of=F.col("id")).collect())) == want
+
+
+def test_texts_of_rows_that_are_not_named_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 4)
+    docs = stash(spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 50).alias("text")), "plain")
+    named = spark.range(20).select((F.col("id") * 100).alias("named"))
+    monkeypatch.setattr(exact_dedup, "stash", lambda df, name: stash(df, name).hint("merge") if name == "names" else stash(df, name))
+    for how in ("left_semi", "inner", "left_anti"):
+        found = exact_dedup.matched(docs, named, how, named=F.col("doc_id"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("getbit") > plan.index("Exchange hashpartitioning") and found.count() == (1980 if how == "left_anti" else 20)
+    assert near_dedup.sets_of(docs, named, 3).count() == 20
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    keep = stash(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and keep.count() == 97
