@@ -99,3 +99,14 @@ def test_registered_queries_of_profile_b_use_bigrams(spark):
     assert pairs("features_b_native_all") == pairs("similarity_jaro_winkler_all") == met
     assert retrieved <= pairs("pairs_b_country_all") <= met
     assert met > pairs("similarity_jaro_winkler")
+
+
+def test_bigrams_meet_without_a_row_for_each_that_is_shared(spark):
+    keys = lambda rows: spark.createDataFrame([(e, k) for e, all_ in rows for k in all_.split()], "entity_id string, key string")
+    s1, targets = keys([("a", "aa zz 09 90 aa"), ("b", "q1 1q"), (None, "aa zz 09")]), keys([("x", "aa zz 09 m4"), ("y", "aa aa zz q1"), ("z", "90 09 zz")])
+    found = blocking.met_often(s1, targets, 3)
+    assert sorted(found.collect(), key=str) == [("a", "x"), ("a", "z"), (None, "x")]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    names = [("S1-1", "Acme Bolt", "", "US"), ("S1-2", "Xy", "12 Elm", "US")], [("S2-1", "Acme Bolt", "", "US"), ("S2-2", "Xy", "12 Elm", "US"), ("S3-1", "Bolt", "", "")]
+    met = blocking.pairs_b(*(profile_b.normalise(spark.createDataFrame(rows, COLUMNS)) for rows in names)).collect()
+    assert sorted(met) == [("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S2-2")]
