@@ -1,6 +1,10 @@
 """Blocking on worked-out records."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
+from tessera.functions import arrays
 from tessera.operators import blocking, profile_a, profile_b
 
 COLUMNS = "entity_id string, business_name string, business_address string, country string"
@@ -110,3 +114,42 @@ def test_bigrams_meet_without_a_row_for_each_that_is_shared(spark):
     names = [("S1-1", "Acme Bolt", "", "US"), ("S1-2", "Xy", "12 Elm", "US")], [("S2-1", "Acme Bolt", "", "US"), ("S2-2", "Xy", "12 Elm", "US"), ("S3-1", "Bolt", "", "")]
     met = blocking.pairs_b(*(profile_b.normalise(spark.createDataFrame(rows, COLUMNS)) for rows in names)).collect()
     assert sorted(met) == [("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S2-2")]
+
+
+def test_native_features_of_pairs_come_from_parts_of_records(spark):
+    from tessera.plans.queries import QUERIES
+
+    words = lambda text: {w for w in text.split(" ") if w}
+    digits = lambda text: {w for w in words(text) if w.isdigit()}
+    many = " ".join(f"w{i}" for i in range(300))
+    rows = [(many, many + " 7 8"), (many + " inc", ""), ("", "7 8 9"), ("acme inc", "12 elm street 12"), ("a verylongwordofmanysigns llc ltd", "12 oak street 99999")]
+    columns = "entity_id string, name_punct string, addr_punct string, name_suffix_str string, country_norm string, addr_house string, addr_postcode string"
+    legal = lambda name: " ".join(w for w in name.split() if w in profile_b.LEGAL)
+    sides = [spark.createDataFrame([(f"{x}{i}", n, a, legal(n), "us" * (i % 2), " " if i == 2 else a[:2], a[-1:]) for i, (n, a) in enumerate(rows)], columns) for x in "st"]
+    pairs = sides[0].select(F.col("entity_id").alias("s1_id")).crossJoin(sides[1].select(F.col("entity_id").alias("tgt_id")))
+    made = [df.select("entity_id", *(c.alias(name) for name, c in profile_b.parts().items())) for df in sides]
+    got = {(r.s1_id, r.tgt_id): r for r in profile_b.native_features(blocking.with_records(pairs, *made), arrays.share_6).collect()}
+    for i, (n, a) in enumerate(rows):
+        for j, (m, b) in enumerate(rows):
+            r, either, place = got[f"s{i}", f"t{j}"], words(n) | words(m), words(a) | words(b)
+            assert r.name_token_jaccard == (round(len(words(n) & words(m)) / len(either), 6) if either else 1)
+            assert r.addr_token_jaccard == (round(len(words(a) & words(b)) / len(place), 6) if a and b else 0)
+            assert (r.addr_common_token_count, r.shared_numeric_count) == (len(words(a) & words(b)), len(digits(a) & digits(b)))
+            assert (r.name_suffix_match, r.addr_s1_blank, r.addr_both_present) == (bool(words(legal(n)) & words(legal(m))), not a, bool(a and b))
+            assert (r.house_agree, r.house_conflict) == ((a[:2] == b[:2], a[:2] != b[:2]) if a and b and 2 not in (i, j) else (0, 0))
+            assert r.country_equal == (i % 2 == j % 2 == 1)
+
+    parts = spark.createDataFrame([(a, b) for b in (*range(1, 130), 640, 12_800, 999_983, 2**31 - 1) for a in {0, 1, b // 3, b // 2, b * 5 // 128, b - 1, b}], "a int, b int")
+    assert parts.where(~arrays.share_6(F.col("a"), F.col("b")).eqNullSafe(F.round(F.col("a") / F.col("b"), 6))).count() == 0
+
+    # nothing is split or rounded for each pair, and Java compiles the join: whole, in methods of up to 8000 bytes
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["features_b_native_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        above = plan.optimizedPlan().toString().split("Join")[0]
+        assert "split(" not in above and "round(" not in above
+        shown = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    found = [x for x in shown.split("== Subtree ")[1:] if re.search(r"^[ +:-]*\*\(\d+\) ShuffledHashJoin", x, re.M)]
+    assert found and all(int(re.search(r"maxMethodCodeSize:(\d+)", x)[1]) <= 8000 for x in found if "name_token_jaccard" in x)
