@@ -22,7 +22,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stash, texts, unused
+from tessera.llm.common import scratch, stash, texts, unused
 
 #: So many digests at most are broadcast (some 60 bytes each, and as much again while the driver builds the table, of
 #: several tables at once); more are joined by a shuffle.
@@ -172,7 +172,8 @@ def drop_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
 
     Rows are told apart by identifier (or none) and text: of a class without any identifier one row stays.
     """
-    found = stash(exact_classes(docs, keep).where("group_size > 1").select("doc_id", "kept", "digest"), "kept")
+    with scratch() as stays:
+        found = stays(exact_classes(docs, keep).where("group_size > 1").select("doc_id", "kept", "digest"), "kept")
     of_id, of_digest = unused(docs, "found_id"), unused(docs, "found_digest")
     named = lambda rows: rows.select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest))
     on = {of_id: F.col("doc_id"), of_digest: own_digest()}

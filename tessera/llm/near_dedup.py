@@ -2,8 +2,9 @@
 
 Each text's shingle hashes are dealt over `REGISTERS` buckets; a bucket's register holds the leading zeros of its least
 value and the ten bits after the leading one. Texts with one and the same set are one class, and only its first document
-goes on. Bands of registers put likely neighbours into one bucket. Within a bucket of up to `SMALL` documents all pairs
-go through the collision-corrected estimate and then through the full sets. A larger bucket is compared with a leader,
+goes on. Bands of registers put likely neighbours into one bucket. Within a bucket of up to `CROWDED` documents all pairs
+go through the collision-corrected estimate and then through the full sets. A larger bucket, or one with more than
+`DENSE` pairs a document that are near by the estimate, is compared with a leader,
 the document that stands in the most crowded buckets, in a few rounds; a pair of its other documents can then only be
 linked if the two differ from the leader in the same shingles, by a number that follows from their sizes. So such pairs
 are found by a prefix-filtered join on those differences, which is exact, and no bucket is ever expanded into all pairs.
@@ -26,6 +27,7 @@ numbers are numbered in their order and given back. An empty table gives no rows
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tessera.llm.common import arrow_batches, stash, texts, tidied, unused
+from tessera.llm.common import arrow_batches, scratch, stash, texts, tidied, unused
 from tessera.llm.components import components
 from tessera.llm.exact_dedup import BROADCAST_ROWS, bounded, matched, own_digest, spread
 from tessera.llm.shingles import ODD, mixed, shingle_set
@@ -44,6 +46,10 @@ REGISTERS = 128
 MANTISSA = 10
 EMPTY = 0xFFFF
 SMALL = 16
+#: Buckets up to CROWDED documents are compared by estimates, unless more than DENSE pairs a document are near.
+CROWDED, DENSE = 1_000, 8
+#: Rows of buckets that are shuffled with their sketches at once, for each document, and at least; rows that Python takes at once.
+SLICE, SLICE_ROWS, BUCKET_ROWS = 2, 1_000_000, 4_096
 ROUNDS = 2
 SLACK = 0.2
 #: Shingles by which more documents than this differ from one leader come last, told apart no further.
@@ -127,6 +133,59 @@ def plausible(pairs: DataFrame, firsts: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(tidied(run), "a long, b long")
 
 
+def near_in_buckets(keys: np.ndarray, ids: np.ndarray, n: np.ndarray, prints: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of whole buckets, rows of one key in a row: a, b of the pairs whose estimate is at least `least`, and the keys of buckets with too many such pairs."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    group, at, found, by = np.cumsum(new) - 1, np.arange(len(keys)), [], 1
+    while len(at := at[at + by < len(keys)]) and len(at := at[group[at] == group[at + by]]):
+        for part in np.array_split(at, -(-len(at) // BUCKET_ROWS)):
+            near = part[estimate(prints[part], prints[part + by], n[part], n[part + by]) >= least]
+            found.append((near, near + by))
+        by += 1
+    one, other = (np.concatenate(x) for x in zip(*found)) if found else (at, at)
+    dense = np.bincount(group[one], minlength=group[-1] + 1 if len(keys) else 0) > DENSE * np.bincount(group)
+    few = ~dense[group[one]]
+    a, b = ids[one[few]], ids[other[few]]
+    return np.minimum(a, b), np.maximum(a, b), keys[new][dense]
+
+
+def near_pairs(buckets: DataFrame, firsts: DataFrame, least: float) -> DataFrame:
+    """key, a, b: pairs of documents (id, sketch, n) in one bucket (key, id) whose estimate is at least `least`, without key; keys of dense buckets, without a pair.
+
+    Sketches go to the buckets, not to pairs, and pairs become rows only if they are near. Buckets are taken in slices,
+    so that the sketches on disk at one time follow the documents, not the buckets.
+    """
+    fields = pa.schema([(c, pa.int64()) for c in ("key", "a", "b")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, REGISTERS), "<u2")]
+        more, size = [held], 0
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                more.append([b.column("key").to_numpy(), b.column("id").to_numpy(), b.column("n").to_numpy().astype(float), np.frombuffer(b"".join(b.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)])
+                size += len(b)
+                if size < BUCKET_ROWS:
+                    continue
+            held = [np.concatenate(x) for x in zip(*more)]
+            end = len(held[0]) if b is None else int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
+            one, other, dense = near_in_buckets(*(x[:end] for x in held), least)
+            more, size = [[x[end:] for x in held]], 0
+            for columns in ((None, one, other), (dense, None, None)):
+                rows = len(next(x for x in columns if x is not None))
+                if rows:
+                    yield pa.record_batch([pa.nulls(rows, pa.int64()) if x is None else pa.array(x, pa.int64()) for x in columns], fields)
+
+    slices = -(-buckets.count() // max(SLICE_ROWS, SLICE * firsts.count())) or 1
+    tasks = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = []
+    for nth in range(slices):
+        rows = buckets.where(F.pmod(F.xxhash64("key"), F.lit(slices)) == nth).join(firsts, "id").select("key", "id", "n", "sketch")
+        rows = rows.repartition(tasks, "key").sortWithinPartitions("key")
+        found.append(stash(rows.mapInArrow(tidied(run), "key long, a long, b long"), "near"))
+    return union(found)
+
+
 def sets_of(docs: DataFrame, named: DataFrame, k: int) -> DataFrame:
     """doc_id, held (the sorted hashes of the set as bytes) of the documents of `named`."""
 
@@ -205,7 +264,8 @@ def led(crowded: DataFrame, firsts: DataFrame, docs: DataFrame, k: int, percent:
         star = stash(left.join(best, "key").where("id <> a").select("key", "a", F.col("id").alias("b"), "score"), "star")
         pairs = star.select("a", "b").distinct()
         pairs = stash(plausible(pairs, firsts, percent / 100) if turn else pairs, "starred")
-        found = stash(compared(pairs, docs, k, not turn).withColumn("linked", linked(percent)), "led")
+        with scratch() as keep:
+            found = keep(compared(pairs, docs, k, not turn).withColumn("linked", linked(percent)), "led")
         first = found if first is None else first
         links.append(found.where("linked").select("a", "b"))
         left = stash(star.join(found.where("linked").select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("b").alias("id"), "score"), "left")
@@ -213,8 +273,8 @@ def led(crowded: DataFrame, firsts: DataFrame, docs: DataFrame, k: int, percent:
             return first, links
 
 
-def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents that were compared with one leader and may be linked with each other.
+def elements(first: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """The elements by which documents that were compared with one leader differ from it, where differing_alike() may find any alike.
 
     For documents i, j that lack d and add e shingles against a leader of c: with w = 100 d + percent e and s shingles
     that both lack or both add, i and j are linked iff (100 - percent) c + (100 + percent) s >= w_i + w_j. Those linked
@@ -233,7 +293,15 @@ def differing_alike(first: DataFrame, joined: DataFrame, percent: int) -> DataFr
     open_ = narrow.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"), F.min("component").alias("low"), F.max("component").alias("high"))
     narrow = stash(narrow.drop("linked").join(open_.where("n > 1 and not all_linked and low < high").select("a"), "a", "left_semi"), "open")
     pairs = first.join(narrow, ["a", "b"]).withColumns({"width": F.size("rest") - need + 1, "w": w, "allowed": (100 - percent) * c}).where("width > 0")
-    sized = stash(pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element")), "elements")
+    return pairs.select("a", "b", "linked", "component", "width", "w", "allowed", F.size("rest").alias("size"), F.explode("rest").alias("element"))
+
+
+def differing_alike(every: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents that were compared with one leader and may be linked with each other, by their elements()."""
+    # most elements are one document's own: they go by 32 bits of a hash, as to count them all would shuffle more than they take
+    slot = lambda: F.hash("a", "element")
+    again = stash(every.groupBy(slot().alias("slot")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("slot"), "slots")
+    sized = stash(matched(every, again, "left_semi", slot=slot()), "again")
     # in order: first what can find nothing (one document's own, or shared by linked ones or one component only), then the rarest.
     # Counted in an aggregate of narrow rows; only elements that can find something are shuffled whole, as most are one document's own
     counts = sized.groupBy(F.col("a").alias("of_a"), F.col("element").alias("of_element")).agg(F.least(F.count(F.lit(1)), F.lit(HOT_ELEMENT + 1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("linked").alias("all_linked"))
@@ -267,35 +335,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """near_duplicates() of rows doc_id (long), text."""
     rows = 5 if percent >= 85 else 4
-    sets = stash(sketches(docs, k), "sketches")
-    some = sets.where("digest is not null and doc_id is not null")
-    classes = stash(some.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
-    several = bounded(classes.where("size > 1").select("digest"))
-    alike = stash(some.join(several, "digest", "left_semi").select("doc_id", "digest").distinct(), "alike")
-    apart = stash(unlike(docs, alike, k), "unlike")
-    if not apart.isEmpty():
-        classes = stash(classes.join(apart, "digest", "left_anti"), "classes")
-    lone = matched(sets, classes.where("size > 1").select(F.col("digest").alias("of")), "left_anti", of=F.col("digest"))
-    lone = lone.select("digest", *(c for c in sets.columns if c != "digest")).withColumn("first", F.col("doc_id"))
-    member = spread(sets, classes.where("size > 1"), "digest", "size").select(*lone.columns)
-    mine = F.when(F.col("digest").isNotNull() & (F.col("doc_id") == F.col("first")), F.col("sketch"))
-    members = stash(lone.unionByName(member).select("doc_id", "n_shingles", "first", mine.alias("sketch")), "members")
-    firsts = members.where("sketch is not null").select(F.col("doc_id").alias("id"), "sketch", F.col("n_shingles").alias("n"))
-    firsts = stash(firsts.dropDuplicates(["id"]), "firsts")
-    bands = stash(banded(firsts, rows), "bands")
-    sizes = stash(bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-    shared = stash(bands.join(sizes, "key"), "buckets")
-    few = shared.where(f"size <= {SMALL}").select("key", "id")
-    pairs = stash(few.join(few.select("key", F.col("id").alias("b")), "key").where("id < b").select(F.col("id").alias("a"), "b").distinct(), "pairs")
-    likely = stash(plausible(pairs, firsts, percent / 100 - SLACK), "likely")
-    links = [compared(likely, docs, k).where(linked(percent)).select("a", "b")]
-    many = shared.where(f"size > {SMALL}")
+    least = percent / 100 - SLACK
+    with scratch() as keep:
+        sets = stash(sketches(docs, k), "sketches")
+        some = sets.where("digest is not null and doc_id is not null")
+        classes = stash(some.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
+        several = bounded(classes.where("size > 1").select("digest"))
+        alike = stash(some.join(several, "digest", "left_semi").select("doc_id", "digest").distinct(), "alike")
+        apart = stash(unlike(docs, alike, k), "unlike")
+        if not apart.isEmpty():
+            classes = stash(classes.join(apart, "digest", "left_anti"), "classes")
+        lone = matched(sets, classes.where("size > 1").select(F.col("digest").alias("of")), "left_anti", of=F.col("digest"))
+        lone = lone.select("digest", *(c for c in sets.columns if c != "digest")).withColumn("first", F.col("doc_id"))
+        every = lone.unionByName(spread(sets, classes.where("size > 1"), "digest", "size").select(*lone.columns))
+        members = keep(every.select("doc_id", "n_shingles", "first"), "members")
+        firsts = every.where(F.col("digest").isNotNull() & (F.col("doc_id") == F.col("first"))).select(F.col("doc_id").alias("id"), "sketch", F.col("n_shingles").alias("n"))
+        firsts = keep(firsts.dropDuplicates(["id"]), "firsts")
+    with scratch() as keep:
+        bands = stash(banded(firsts, rows), "bands")
+        sizes = stash(bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+        shared = keep(bands.join(sizes, "key"), "buckets")
+    with scratch() as keep:
+        near = near_pairs(shared.where(f"size <= {CROWDED}").select("key", "id"), firsts, least)
+        likely = keep(near.where("key is null").select("a", "b").distinct(), "likely")
+        dense = keep(near.where("key is not null").select("key"), "dense")
+    with scratch() as keep:
+        links = [keep(compared(likely, docs, k).where(linked(percent)).select("a", "b"), "linked")]
+    many = shared.where(f"size > {CROWDED}").unionByName(shared.join(dense, "key", "left_semi").select(*shared.columns))
     if not many.isEmpty():
-        scores = stash(many.groupBy("id").agg(F.sum("size").alias("score")), "scores")
-        first, more = led(stash(many.join(scores, "id").select("key", "id", "score"), "crowded"), firsts, docs, k, percent)
-        joined = components(stash(union([*links, *more]), "led-links"))
-        rest = stash(plausible(stash(differing_alike(first, joined, percent), "alike"), firsts, percent / 100 - SLACK), "rest")
-        extra = compared(rest, docs, k).where(linked(percent)).select("a", "b")
+        with scratch() as keep:
+            scores = stash(many.groupBy("id").agg(F.sum("size").alias("score")), "scores")
+            first, more = led(stash(many.join(scores, "id").select("key", "id", "score"), "crowded"), firsts, docs, k, percent)
+            joined = keep(components(stash(union([*links, *more]), "led-links")), "joined")
+            rest = keep(elements(first, joined, percent), "elements")
+        with scratch() as keep:
+            rest = stash(plausible(stash(differing_alike(rest, percent), "alike"), firsts, least), "rest")
+            extra = keep(compared(rest, docs, k).where(linked(percent)).select("a", "b"), "extra")
         links = [joined.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")), extra]
     found = components(stash(union(links), "all-links"))
     out = members.join(found, F.col("first") == F.col("id"), "left").withColumn("component_id", F.coalesce("component", "first"))
@@ -324,7 +399,11 @@ def drop_near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     that repeat both stay or go together. Empty and null texts stay, and so does an empty table.
     """
     gone_id, of_id, of_digest, number = (unused(docs, c) for c in ("gone_id", "of_id", "of_digest", "number"))
-    lost = lambda rows: stash(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "lost")
+
+    def lost(rows: DataFrame) -> DataFrame:
+        with scratch() as keep:
+            return keep(near_duplicates(rows, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "lost")
+
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
         return matched(docs, lost(docs.select("doc_id", "text")), "left_anti", **{gone_id: F.col("doc_id")})
     of = numbered(docs).select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_digest), F.col("number").alias(number))

@@ -1,5 +1,6 @@
 """Near duplicates against all pairs of sets in plain Python."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -140,3 +141,38 @@ def test_components(spark):
     got = {r.id: r.component for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(51), 0), 99: 99, 100: 99, 101: 99}
     assert components(links.limit(0)).count() == 0
+
+
+def test_buckets_are_compared_without_a_row_for_each_pair(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 3, (90, near_dedup.REGISTERS)).astype("<u2")
+    prints[40:70] = prints[40]  # a dense bucket
+    prints[11], prints[88] = prints[3], prints[75]
+    keys, ids, n = np.repeat([7, 9, 12, 13], [30, 10, 30, 20]), rng.permutation(90), np.full(90, 100.0)
+    a, b, dense = near_dedup.near_in_buckets(keys, ids, n, prints, 0.6)
+    assert {*zip(a.tolist(), b.tolist())} == {tuple(sorted((int(ids[i]), int(ids[j])))) for i, j in ((3, 11), (75, 88))}
+    assert dense.tolist() == [12]
+    assert [len(x) for x in near_dedup.near_in_buckets(keys[:0], ids[:0], n[:0], prints[:0], 0.6)] == [0, 0, 0]
+
+    # buckets go on from one batch to the next, and are taken in slices
+    firsts = spark.createDataFrame([(int(i), bytearray(p.tobytes()), 100) for i, p in zip(ids, prints)], "id long, sketch binary, n long")
+    buckets = spark.createDataFrame([(int(k), int(i)) for k, i in zip(keys, ids)], "key long, id long")
+    for name, value in (("SLICE", 0), ("SLICE_ROWS", 40), ("BUCKET_ROWS", 8)):
+        monkeypatch.setattr(near_dedup, name, value)
+    found = near_dedup.near_pairs(buckets, firsts, 0.6).collect()
+    assert {(r.a, r.b) for r in found if r.key is None} == {*zip(a.tolist(), b.tolist())}
+    assert [r.key for r in found if r.key is not None] == [12]
+
+
+def test_what_a_step_wrote_goes_when_its_result_is_stored(spark):
+    from tessera.llm.common import scratch, stash
+
+    with scratch() as outer:
+        with scratch() as keep:
+            first = keep(stash(spark.range(5), "inner").where("id > 1"), "first")
+        second = outer(first.where("id > 2"), "second")
+        folder = first.inputFiles()[0].rsplit("/", 2)[0].removeprefix("file:").replace("//", "/")
+        assert not [x for x in os.listdir(folder) if x.startswith("tessera-inner")]
+        assert first.count() == 3
+    assert not [x for x in os.listdir(folder) if x.startswith("tessera-first")]
+    assert second.count() == 2
