@@ -1,5 +1,6 @@
 """Blocking on worked-out records."""
 
+import random
 import re
 
 import pytest
@@ -153,3 +154,27 @@ def test_native_features_of_pairs_come_from_parts_of_records(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     found = [x for x in shown.split("== Subtree ")[1:] if re.search(r"^[ +:-]*\*\(\d+\) ShuffledHashJoin", x, re.M)]
     assert found and all(int(re.search(r"maxMethodCodeSize:(\d+)", x)[1]) <= 8000 for x in found if "name_token_jaccard" in x)
+
+
+def test_pairs_of_exact_keys_are_found_beside_the_bitmaps(spark):
+    names = [("S1-1", "Acme Bolt", "12 Elm", "US"), ("S1-1", "Zyx", "7 Oak", "US"), ("S1-2", "Xy", "12 Elm", "US"), (None, "Qq", "9 Ash", ""), ("S1-4", "", "", "")]
+    others = [("S2-1", "Acme Bolt", "", "US"), ("S2-2", "Xy", "12 Elm", "US"), ("S2-3", "Ab", "7 Oak", ""), ("S2-4", "Cd", "9 Ash", ""), ("S2-5", "", "", ""), (None, "Ef", "7 Oak", "")]
+    sides = [profile_b.normalise(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")) for rows in (names, others)]
+    found = blocking.pairs_b(*sides)
+    exact = blocking.met(*(profile_b.exact_keys(x) for x in sides), ["key"])
+    often = blocking.met_often(*(profile_b.bigram_keys(x) for x in sides), 3)
+    assert sorted(found.collect(), key=str) == sorted(exact.union(often).distinct().collect(), key=str)
+    assert ("S1-1", "S2-3") in found.collect() and (None, "S2-4") in found.collect()
+
+    # no table of pairs is shuffled or joined: only records are
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Union" not in above and "Aggregate" not in above
+    held = blocking.pairs_b(*sides, records=tuple(x.select("entity_id", "name_punct") for x in sides))
+    assert held.columns == ["s1_id", "tgt_id", "s_name_punct", "t_name_punct"]
+
+    rnd = random.Random(3)
+    mark = lambda blank: [rnd.choice([blank, *range(2, 7), 2048, 2050, 4095]) for _ in range(5)]
+    rows = [(mark(0), mark(1)) for _ in range(3000)]
+    as_one = lambda x: sum(m << blocking.MARK_BITS * n for n, m in enumerate(x))
+    got = spark.createDataFrame([(i, as_one(a), as_one(b)) for i, (a, b) in enumerate(rows)], "i int, s_marks long, t_marks long").select("i", blocking.maybe_met("s", "t").alias("hit"))
+    assert all(r.hit == any(x == y for x, y in zip(*rows[r.i])) for r in got.collect())
