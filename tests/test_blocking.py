@@ -178,3 +178,12 @@ def test_pairs_of_exact_keys_are_found_beside_the_bitmaps(spark):
     as_one = lambda x: sum(m << blocking.MARK_BITS * n for n, m in enumerate(x))
     got = spark.createDataFrame([(i, as_one(a), as_one(b)) for i, (a, b) in enumerate(rows)], "i int, s_marks long, t_marks long").select("i", blocking.maybe_met("s", "t").alias("hit"))
     assert all(r.hit == any(x == y for x, y in zip(*rows[r.i])) for r in got.collect())
+
+
+def test_names_are_not_joined_to_pairs(spark, monkeypatch):
+    from tessera.plans.queries import QUERIES
+
+    monkeypatch.setattr(blocking, "FEW", 1)
+    plan = QUERIES["similarity_jaro_winkler_all"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    assert re.search(r"Join Inner, .*cell", plan.split("\n", 1)[1].split("RepartitionByExpression")[0]) and plan.split("RepartitionByExpression")[0].count("Join ") == 1
